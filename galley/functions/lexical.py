@@ -158,11 +158,10 @@ def noun_lemma(word: Column, lexicon: Lexicon = ENGLISH) -> Column:
 
 
 def lemma(word: Column, lexicon: Lexicon = ENGLISH) -> Column:
-    """Verb lemma for words tagged as verbs, noun lemma for all others."""
-    is_verb = ~one_of(word, CLOSED_CLASS_WORDS) & ~is_adverb(word) & (
-        one_of(word, lexicon.verb_exceptions) | _regular_verb_form(word)
-    )
-    return F.when(is_verb, verb_lemma(word, lexicon)).otherwise(noun_lemma(word, lexicon))
+    """Verb lemma for verbs, noun lemma for nouns and adjectives; other words stay as they are."""
+    is_verb = one_of(word, lexicon.verb_exceptions) | _regular_verb_form(word)
+    inflected = F.when(is_verb, verb_lemma(word, lexicon)).otherwise(noun_lemma(word, lexicon))
+    return F.when(is_kept(word), inflected).otherwise(word)
 
 
 def keep_pos(words: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from galley.schemas import ARTICLE
 
@@ -24,7 +24,7 @@ def decode_records(df: DataFrame, value: str = "value", schema: StructType = ART
     """Parsed ``record`` next to the raw text; ``is_valid`` is false for anything but an object."""
     corrupt = "_corrupt_record"
     parsed = F.from_json(
-        F.col(value), StructType(schema.fields).add(corrupt, "string"),
+        F.col(value), StructType([*schema.fields, StructField(corrupt, StringType())]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt},
     )
     rows = df.withColumn("record", parsed)

@@ -34,15 +34,15 @@ def normalize(
     Everything up to the last step is one narrow projection. Deduplication groups on the output
     columns, so each task merges its own copies before the one shuffle.
     """
-    rows = drop_null_rows(df.select(*keep, F.col(text_col).alias("summary")))
+    rows = drop_null_rows(df.select(*keep, F.col(text_col).alias("_text")))
     if compat:
-        words = text.split_words(text.remove_features(text.remove_stop_words(F.col("summary")), compat=True))
+        words = text.split_words(text.remove_features(text.remove_stop_words(F.col("_text")), compat=True))
     else:
         if lang is not None:
             lists = word_lists or language.built_in_stop_words()
-            rows = evaluate_once(rows, found_lang=language.detect_lang(F.col("summary"), lists, min_score))
+            rows = evaluate_once(rows, found_lang=language.detect_lang(F.col("_text"), lists, min_score))
             rows = rows.filter(F.col("found_lang") == lang)
-        words = text.drop_words(text.feature_words(text.strip_non_ascii(F.col("summary"))), ENGLISH_STOP_WORDS)
+        words = text.drop_words(text.feature_words(text.strip_non_ascii(F.col("_text"))), ENGLISH_STOP_WORDS)
     lemmas = lexical.lemmatize(lexical.keep_pos(words), lexicon)
     cleaned = evaluate_once(rows, lemm_summary=F.array_join(lemmas, " "))
     cleaned = cleaned.select(*keep, "lemm_summary").filter(~text.is_blank(F.col("lemm_summary"), compat))

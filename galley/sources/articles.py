@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from galley import schemas
 
@@ -17,7 +17,7 @@ def _read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bo
     # Quotes inside a field are doubled. Fields may hold line breaks, so files are read whole;
     # collections without line breaks can set multi_line=False to have large files split.
     return (
-        spark.read.schema(schema.add(CORRUPT, "string"))
+        spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -30,12 +30,12 @@ def _read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bo
 
 def read_articles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Labelled articles ``topic,title,summary`` from CSV with a header; bad rows keep their text."""
-    return _read_csv(spark, path, StructType(schemas.LABELLED_ARTICLE.fields), multi_line)
+    return _read_csv(spark, path, schemas.LABELLED_ARTICLE, multi_line)
 
 
 def read_summaries(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Unlabelled texts ``summary`` from CSV with a header."""
-    return _read_csv(spark, path, StructType(schemas.SUMMARY.fields), multi_line)
+    return _read_csv(spark, path, schemas.SUMMARY, multi_line)
 
 
 def read_collection(
