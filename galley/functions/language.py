@@ -3,31 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import cache
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from galley.functions.text import select_words, sql_list
+from galley.functions.text import lookup, select_words
 from galley.functions.words import BUILT_IN_LANGUAGES, ENGLISH_STOP_WORDS
 
 TOKEN_GAP = r"[^\p{L}']+"
 
 
-def built_in_stop_words(languages: Sequence[str] | None = None) -> dict[str, list[str]]:
+@cache
+def _stop_words(code: str) -> tuple[str, ...]:
+    words = ENGLISH_STOP_WORDS if code == "en" else StopWordsRemover.loadDefaultStopWords(BUILT_IN_LANGUAGES[code])
+    return tuple(sorted({word.strip() for word in words}))
+
+
+def built_in_stop_words(languages: Sequence[str] | None = None) -> dict[str, Sequence[str]]:
     """Stop words by ISO code: the English table of this package and the lists shipped with Spark.
 
     Needs a running session, as Spark reads its lists from its own jar.
     """
-    codes = sorted(languages or ["en", *BUILT_IN_LANGUAGES])
-    return {
-        code: sorted(
-            set(ENGLISH_STOP_WORDS)
-            if code == "en"
-            else {word.strip() for word in StopWordsRemover.loadDefaultStopWords(BUILT_IN_LANGUAGES[code])}
-        )
-        for code in codes
-    }
+    return {code: _stop_words(code) for code in sorted(languages or ["en", *BUILT_IN_LANGUAGES])}
 
 
 def _let(value: Column, body) -> Column:
@@ -40,14 +39,19 @@ def language_score(text: Column, word_lists: Mapping[str, Sequence[str]]) -> Col
 
     With ``h`` hits per language the score is ``2^h / sum(2^h)`` over all candidates. Ties go to
     the alphabetically first language. Without any hit the language is null and the score 0.
-    All lists are tested within the row, so there is no shuffle and streams work as well.
+    Each token is looked up once, for the set of its languages as a bit mask. All of it happens
+    within the row, so there is no shuffle and streams work as well.
     """
     codes = sorted(word_lists)
-    known = sorted(set().union(*word_lists.values()))
-    tokens = select_words(F.split(F.lower(text), TOKEN_GAP), f"w IN ({sql_list(known)})")
+    masks: dict[str, int] = {}
+    for bit, code in enumerate(codes):
+        for word in word_lists[code]:
+            masks[word] = masks.get(word, 0) | 1 << bit
+    tokens = F.split(F.lower(text), TOKEN_GAP)
+    found_masks = F.array_compact(F.transform(tokens, lambda token: lookup(token, masks, "bigint")))
 
     def hits(found: Column) -> Column:
-        return F.array(*[F.size(select_words(found, f"w IN ({sql_list(word_lists[code])})")) for code in codes])
+        return F.array(*[F.size(select_words(found, f"w & {1 << bit}L <> 0")) for bit in range(len(codes))])
 
     def best(counts: Column) -> Column:
         top = F.array_max(counts)
@@ -58,7 +62,7 @@ def language_score(text: Column, word_lists: Mapping[str, Sequence[str]]) -> Col
             F.when(top > 0, 1 / mass).otherwise(F.lit(0.0)).alias("score"),
         )
 
-    return _let(_let(tokens, hits), best)
+    return _let(_let(found_masks, hits), best)
 
 
 def detect_lang(text: Column, word_lists: Mapping[str, Sequence[str]], min_score: float = 0.9) -> Column:

@@ -7,14 +7,13 @@ no join and no regrouping by document.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from galley.functions.text import one_of, select_words, sql_list
+from galley.functions.text import lookup, one_of, select_words, sql_list
 from galley.functions.words import (
     CLOSED_CLASS_WORDS,
     ED_ING_NON_VERBS,
@@ -64,19 +63,6 @@ class Lexicon:
 ENGLISH = Lexicon()
 
 
-def lookup(word: Column, table: Mapping[str, str]) -> Column:
-    """Value of ``word`` in a constant table, null if absent.
-
-    The table is spread over small maps by CRC-32, as a lookup scans its map from the start.
-    """
-    buckets: list[list[str]] = [[] for _ in range(max(1, len(table) // 4))]
-    for key, value in table.items():
-        buckets[zlib.crc32(key.encode()) % len(buckets)].append(f"{key}:{value}")
-    maps = F.array(*[F.str_to_map(F.lit(",".join(bucket)), F.lit(","), F.lit(":")) for bucket in buckets])
-    number = F.crc32(word.cast("binary")) % len(buckets) + 1
-    return F.element_at(F.element_at(maps, number.cast("int")), word)
-
-
 def is_adverb(word: Column) -> Column:
     return word.endswith("ly") & ~one_of(word, LY_NON_ADVERBS)
 

@@ -7,7 +7,9 @@ Repetitions run over single classes, never over groups, so no input can exhaust
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+import zlib
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -104,6 +106,20 @@ def one_of(word: Column, words: Iterable[str]) -> Column:
     return F.call_function("exists", F.array(word), F.expr(f"w -> w IN ({sql_list(words)})"))
 
 
+def lookup(word: Column, table: Mapping[str, object], value_type: str = "string") -> Column:
+    """Value of ``word`` in a constant table, null if absent.
+
+    The table is spread over small maps by CRC-32, as a lookup scans its map from the start. It
+    enters the plan as one JSON literal, which the optimizer folds into a constant array of maps.
+    """
+    buckets: list[dict] = [{} for _ in range(max(1, len(table) // 4))]
+    for key, value in table.items():
+        buckets[zlib.crc32(key.encode()) % len(buckets)][key] = value
+    maps = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{value_type}>>")
+    number = F.crc32(word.cast("binary")) % len(buckets) + 1
+    return F.element_at(F.element_at(maps, number.cast("int")), word)
+
+
 def drop_words(words: Column, dropped: Iterable[str]) -> Column:
     return select_words(words, f"w NOT IN ({sql_list(dropped)})")
 

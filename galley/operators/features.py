@@ -8,6 +8,8 @@ from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, HashingTF,
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galley.session import materialize
+
 # Terms above this share of all (document, term) pairs number at most its inverse, so a table of
 # them stays small enough to broadcast however large the vocabulary grows.
 MAX_HOT_TERMS = 200_000
@@ -31,7 +33,7 @@ def split(df: DataFrame, key: Column, percent: int = 80) -> tuple[DataFrame, Dat
     return df.filter(bucket < percent), df.filter(bucket >= percent)
 
 
-def term_counts(df: DataFrame, tokens: str, key: Sequence[str] = ()) -> DataFrame:
+def term_counts(df: DataFrame, tokens: Column | str, key: Sequence[str] = ()) -> DataFrame:
     """Occurrences per term, within each key if given; partial counts are merged per task."""
     return df.select(*key, F.explode(tokens).alias("term")).groupBy(*key, "term").agg(F.count("*").alias("tf"))
 
@@ -57,17 +59,18 @@ def inverse_frequency(n_documents: Column, df: Column, min_doc_freq: int) -> Col
     return F.when(df >= min_doc_freq, F.ln((n_documents + 1) / (df + 1))).otherwise(F.lit(0.0))
 
 
-def tf_idf(df: DataFrame, key: str, tokens: str, min_doc_freq: int = 3) -> DataFrame:
+def tf_idf(df: DataFrame, key: str, tokens: Column | str, min_doc_freq: int = 3) -> DataFrame:
     """``(key, term, tf, df, tf_idf)`` with exact terms instead of hash buckets.
 
-    A frequent term occurs in a large part of all pairs, so a plain join would send that part to
-    one task. Terms above a frequency threshold are few by construction and are broadcast; the
-    groups of the remaining terms are bounded by the threshold and joined by a shuffle.
+    The counts per (key, term) are read three times, so they are written once. A frequent term
+    occurs in a large part of these pairs, and a plain join would send that part to one task. Terms
+    above a frequency threshold are few by construction and are broadcast; the groups of the
+    remaining terms are bounded by the threshold and joined by a shuffle.
     """
     n_documents = df.agg(F.count("*")).scalar()
-    counts = term_counts(df, tokens, [key])
+    counts = materialize(term_counts(df, tokens, [key]), "term_counts")
     frequencies = document_frequencies(counts)
-    threshold = F.greatest(F.lit(MIN_HOT_FREQUENCY), frequencies.agg(F.sum("df") / MAX_HOT_TERMS).scalar())
+    threshold = F.greatest(F.lit(MIN_HOT_FREQUENCY), counts.agg(F.count("*") / MAX_HOT_TERMS).scalar())
     is_hot = F.col("df") > threshold
     hot = F.broadcast(frequencies.filter(is_hot))
     joined = counts.join(hot, "term").unionByName(

@@ -242,6 +242,16 @@ REPORT = """
     SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
     FROM rates)"""
 
+WEIGHTED = ", ".join(f"sum({m} * support) / sum(support)" for m in ("precision", "recall", "f1"))
+REPORT_ROWS = f"""
+  SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM report
+  UNION ALL SELECT 'accuracy', round(a, 6), round(a, 6), round(a, 6), s
+    FROM (SELECT sum(hits) / sum(support) AS a, sum(support)::BIGINT AS s FROM report)
+  UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support)::BIGINT
+    FROM report
+  UNION ALL SELECT 'weighted avg', round(p, 6), round(r, 6), round(f, 6), s
+    FROM (SELECT {WEIGHTED}, sum(support)::BIGINT FROM report) AS t(p, r, f, s)"""
+
 INVISIBLE = "(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<nav\\b.*?</nav\\s*>"
 
 
@@ -255,35 +265,47 @@ def article_text(x: str) -> str:
 
 TOPIC_ARTICLES = f"topic_articles AS (SELECT DISTINCT lang AS topic, {normalized('text')} AS lemm FROM documents)"
 
-NAIVE_BAYES = f"""
-WITH {TOPIC_ARTICLES},
+TRAIN_TEST = f"""{TOPIC_ARTICLES},
   rows AS (
     SELECT topic, lemm, ('0x' || substr(md5(topic || chr(31) || lemm), 1, 8))::BIGINT % 100 < 80 AS is_train
-    FROM topic_articles WHERE lemm <> ''),
+    FROM topic_articles WHERE lemm <> '')"""
+
+
+def naive_bayes(rows: str, targets: str) -> str:
+    """Class and confidence of ``targets(id, lemm)`` after training on ``rows(topic, lemm, is_train)``."""
+    return f"""{rows + "," if rows else ""}
   terms AS (
-    SELECT topic, lemm, is_train, term, count(*) AS tf
-    FROM (SELECT *, unnest(string_split(lemm, ' ')) AS term FROM rows) GROUP BY ALL),
-  n_train AS (SELECT count(*) AS n FROM rows WHERE is_train),
+    SELECT topic, lemm, term, count(*) AS tf
+    FROM (SELECT *, unnest(string_split(lemm, ' ')) AS term FROM rows WHERE is_train) GROUP BY ALL),
   idf AS (
-    SELECT term, CASE WHEN count(*) >= 3 THEN ln((any_value(n) + 1) / (count(*) + 1)) ELSE 0.0 END AS idf
-    FROM terms, n_train WHERE is_train GROUP BY term),
-  weights AS (SELECT topic, term, sum(tf * idf) AS w FROM terms JOIN idf USING (term) WHERE is_train GROUP BY ALL),
-  priors AS (
-    SELECT topic, ln(count(*) + 1) AS prior FROM rows WHERE is_train GROUP BY topic),
+    SELECT term, CASE WHEN count(*) >= 3 THEN ln(((SELECT count(*) FROM rows WHERE is_train) + 1) / (count(*) + 1)) ELSE 0.0 END AS idf
+    FROM terms GROUP BY term),
+  weights AS (SELECT topic, term, sum(tf * idf) AS w FROM terms JOIN idf USING (term) GROUP BY ALL),
+  priors AS (SELECT topic, ln(count(*) + 1) AS prior FROM rows WHERE is_train GROUP BY topic),
   totals AS (
     SELECT topic, prior, ln(total + (SELECT count(*) FROM idf)) AS denominator
     FROM priors JOIN (SELECT topic, sum(w) AS total FROM weights GROUP BY topic) USING (topic)),
-  tests AS (
-    SELECT r.topic, r.lemm, t.term, coalesce(t.tf * i.idf, 0.0) AS x
-    FROM rows r LEFT JOIN terms t ON t.topic = r.topic AND t.lemm = r.lemm AND NOT t.is_train
-    LEFT JOIN idf i ON i.term = t.term
-    WHERE NOT r.is_train),
-  scored AS (
-    SELECT e.topic, e.lemm, c.topic AS category,
+  targets AS ({targets}),
+  found AS (
+    SELECT id, t.term, coalesce(tf * idf, 0.0) AS x
+    FROM (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(string_split(lemm, ' ')) AS term FROM targets) GROUP BY ALL) t
+    LEFT JOIN idf USING (term)),
+  sums AS (
+    SELECT id, c.topic AS category,
            any_value(c.prior) + sum(x * (ln(coalesce(w, 0.0) + 1) - c.denominator)) AS score
-    FROM tests e CROSS JOIN totals c LEFT JOIN weights w ON w.topic = c.topic AND w.term = e.term
-    GROUP BY ALL)
-SELECT md5(lemm) AS lemm_summary, topic, arg_max(category, score) AS category FROM scored GROUP BY topic, lemm"""
+    FROM found f CROSS JOIN totals c LEFT JOIN weights w ON w.topic = c.topic AND w.term = f.term
+    GROUP BY ALL),
+  tops AS (SELECT id, max(score) AS top FROM sums GROUP BY id),
+  scored AS (
+    SELECT id, arg_max(category, score) AS category, 1 / sum(exp(score - top)) AS confidence
+    FROM sums JOIN tops USING (id) GROUP BY id)"""
+
+
+TEST_ROWS = "SELECT {'topic': topic, 'lemm': lemm} AS id, lemm FROM rows WHERE NOT is_train"
+TEST_GUESSES = "guesses AS (SELECT id.topic AS label, category AS prediction FROM scored)"
+UNSEEN = f"""SELECT * FROM (
+    SELECT url AS id, {normalized(article_text('html'))} AS lemm
+    FROM pages WHERE url NOT IN (SELECT url FROM seen)) WHERE lemm <> ''"""
 
 
 def customer_profile() -> str:
@@ -322,7 +344,6 @@ def oracle_sql() -> dict[str, str]:
     fresh_predictions = f"""
       SELECT url, 'attempt 1' AS category, '2024-02-01 00:00:00' AS predicted_at, page_id::VARCHAR AS summary
       FROM pages WHERE url NOT IN (SELECT url FROM seen)"""
-    weighted = ", ".join(f"sum({m} * support) / sum(support)" for m in ("precision", "recall", "f1"))
     english = spark_stop_words("english")
     title_words = TITLE_WORDS.format("title")
     codes = ["NA", *sorted(["en", *BUILT_IN_LANGUAGES])]
@@ -382,13 +403,7 @@ def oracle_sql() -> dict[str, str]:
             FROM documents GROUP BY lang""",
         "distinct_texts": "SELECT lang, md5(text) AS text FROM (SELECT DISTINCT text, lang FROM documents)",
         "confusion_matrix": f"WITH {guesses()} SELECT label, {matrix} FROM guesses GROUP BY label",
-        "classification_report": f"""WITH {guesses()}, {REPORT}
-            SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM report
-            UNION ALL SELECT 'accuracy', round(a, 6), round(a, 6), round(a, 6), s
-              FROM (SELECT sum(hits) / sum(support) AS a, sum(support)::BIGINT AS s FROM report)
-            UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support)::BIGINT FROM report
-            UNION ALL SELECT 'weighted avg', round(p, 6), round(r, 6), round(f, 6), s
-              FROM (SELECT {weighted}, sum(support)::BIGINT FROM report) AS t(p, r, f, s)""",
+        "classification_report": f"WITH {guesses()}, {REPORT} {REPORT_ROWS}",
         "f1_and_test_error": f"""WITH {guesses()}, {REPORT}
             SELECT round(f, 6) AS f1, round(1 - f, 6) AS test_error, round(a, 6) AS accuracy
             FROM (SELECT sum(f1 * support) / sum(support) AS f, sum(hits) / sum(support) AS a FROM report)""",
@@ -480,7 +495,22 @@ def oracle_sql() -> dict[str, str]:
         "explore_row_count": explored("SELECT count(*) AS row_count FROM complete"),
         "explore_topics": explored("SELECT topic, count(*) AS count FROM complete GROUP BY topic"),
         "explore_titles": explored("SELECT title, count(*) AS count FROM complete GROUP BY title ORDER BY count DESC, title LIMIT 20"),
-        "naive_bayes_predictions": NAIVE_BAYES,
+        "naive_bayes_predictions": f"""WITH {naive_bayes(TRAIN_TEST, TEST_ROWS)}
+            SELECT md5(id.lemm) AS lemm_summary, id.topic AS topic, category FROM scored""",
+        "train_report": f"WITH {naive_bayes(TRAIN_TEST, TEST_ROWS)}, {TEST_GUESSES}, {REPORT} {REPORT_ROWS}",
+        "score_articles": f"""WITH {naive_bayes(TRAIN_TEST, f"SELECT * FROM (SELECT doc_id AS id, {normalized('text')} AS lemm FROM documents) WHERE lemm <> ''")}
+            SELECT id AS doc_id, category, round(confidence, 4) AS confidence FROM scored""",
+        "score_batch": f"""WITH {SEEN}, {naive_bayes(TRAIN_TEST, UNSEEN)}
+            SELECT id AS url, category, '2024-02-01 00:00:00' AS predicted_at FROM scored""",
+        "score_stream": f"""WITH {SEEN}, {naive_bayes(TRAIN_TEST, UNSEEN)}
+            SELECT id AS url, category, '2024-02-01 00:00:00' AS predicted_at FROM scored
+            UNION ALL SELECT url, category, predicted_at FROM seen""",
+        "retrain": f"""WITH {SEEN}, base AS (SELECT DISTINCT lang AS topic, {normalized('text')} AS lemm FROM documents),
+            rows AS (
+              SELECT DISTINCT topic, lemm, TRUE AS is_train
+              FROM (SELECT * FROM base UNION ALL SELECT category, {normalized('summary')} FROM seen) WHERE lemm <> ''),
+            {naive_bayes("", "SELECT {'topic': topic, 'lemm': lemm} AS id, lemm FROM base WHERE lemm <> ''")}
+            SELECT id.topic AS topic, category, count(*) AS n FROM scored GROUP BY ALL""",
         "request_texts": f"""SELECT url, md5({article_text('html')}) AS summary,
             CASE WHEN url <> '' AND {article_text('html')} <> '' THEN 'valid' ELSE 'invalid' END AS status FROM pages""",
         # Streams
@@ -491,6 +521,6 @@ def oracle_sql() -> dict[str, str]:
         "dedup_stream": f"WITH {ARTICLES} SELECT source, topic, published_date AS published_at FROM articles",
         "batch_dedup": f"WITH {ARTICLES} SELECT source, topic, published_date AS published_at FROM articles",
         "land_stream": f"WITH {ARTICLES} SELECT {DIGESTED} FROM articles",
-        "land_rejects": f"""WITH {ARTICLES} SELECT topic, ('{{"title":' || to_json(title))[1:20] AS value FROM articles
+        "land_rejects": f"""WITH {ARTICLES} SELECT topic, ('{{"title":' || to_json(title) || ',"published_date":"' || published_date)[1:20] AS value FROM articles
             WHERE topic = 'es'""",
     }

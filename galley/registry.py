@@ -610,9 +610,12 @@ def index_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "topic", "label")
 
 
+def feature_words() -> Column:
+    return text.drop_words(text.feature_words(F.col("text")), ENGLISH_STOP_WORDS)
+
+
 def feature_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = text.drop_words(text.feature_words(F.col("text")), ENGLISH_STOP_WORDS)
-    return evaluate_once(documents(spark, sf_dir), words=words).select("doc_id", "lang", "words")
+    return evaluate_once(documents(spark, sf_dir), words=feature_words()).select("doc_id", "lang", "words")
 
 
 @query
@@ -639,7 +642,7 @@ def hashed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = features.tf_idf(feature_tokens(spark, sf_dir), "doc_id", "words")
+    rows = features.tf_idf(documents(spark, sf_dir), "doc_id", feature_words())
     return rows.groupBy("term").agg(
         F.max("df").alias("df"), F.sum("tf").alias("tf"), F.round(F.sum("tf_idf"), 4).alias("tf_idf")
     )
@@ -692,7 +695,9 @@ def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def train_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.train(topic_articles(spark, sf_dir)).report
+    """Report of the classifier over exact terms on the test part."""
+    report = model.train(topic_articles(spark, sf_dir), vectorizer="count").report
+    return report.select("class", *[F.round(m, 6).alias(m) for m in ("precision", "recall", "f1")], "support")
 
 
 @query
@@ -710,7 +715,7 @@ def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def saved_model(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "model")
-    model.train(topic_articles(spark, sf_dir), path)
+    model.train(topic_articles(spark, sf_dir), path, vectorizer="count")
     return path
 
 
@@ -719,7 +724,7 @@ def score_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every normalized article scored by the model that was saved and loaded again."""
     loaded = model.load_model(saved_model(spark, sf_dir))
     rows = normalize.normalize(documents(spark, sf_dir, "text", "doc_id"), "text", keep=("doc_id",), lang=None, dedup=False)
-    return model.score(rows, loaded).select("doc_id", "category", F.round("confidence", 6).alias("confidence"))
+    return model.score(rows, loaded).select("doc_id", "category", F.round("confidence", 4).alias("confidence"))
 
 
 @query
@@ -727,7 +732,7 @@ def retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model refitted on page titles and documents, then applied to all documents."""
     path = scratch_path(spark, "model")
     base = documents(spark, sf_dir, "text", "lang").select(F.col("text").alias("summary"), F.col("lang").alias("topic"))
-    fitted = model.retrain(seen_pages(spark, sf_dir), base, path, {"lang": None})
+    fitted = model.retrain(seen_pages(spark, sf_dir), base, path, {"lang": None}, vectorizer="count")
     rows = normalize.normalize(base, keep=("topic",), lang=None)
     return model.score(rows, fitted).groupBy("topic", "category").agg(F.count("*").alias("n"))
 

@@ -45,8 +45,7 @@ def read_lexicon(spark: SparkSession, verb_exceptions: str, noun_exceptions: str
         return rows
 
     def exceptions(path: str, pos: str) -> dict[str, str]:
-        plain = lemma_exceptions(spark, path, pos).filter("NOT contains(form, ':') AND NOT contains(form, ',')")
-        return {row["form"]: row["lemma"] for row in fetch(plain)}
+        return {row["form"]: row["lemma"] for row in fetch(lemma_exceptions(spark, path, pos))}
 
     verbs = frozenset(row["word"] for row in fetch(indexed_words(spark, verb_index))) if verb_index else frozenset()
     return Lexicon(exceptions(verb_exceptions, "v"), exceptions(noun_exceptions, "n"), verbs)
