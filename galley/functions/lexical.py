@@ -7,7 +7,7 @@ no join and no regrouping by document.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -132,32 +132,56 @@ def verb_lemma(word: Column, lexicon: Lexicon = ENGLISH) -> Column:
     return F.coalesce(lookup(word, lexicon.verb_exceptions), regular)
 
 
-def noun_lemma(word: Column, lexicon: Lexicon = ENGLISH) -> Column:
-    regular = (
+def _rule_noun_lemma(word: Column) -> Column:
+    return (
         F.when(word.rlike("[a-z]{2}men$"), F.concat(_cut(word, 2), F.lit("an")))
         .when(~_plural_ending(word), word)
         .when(word.endswith("ies"), F.concat(_cut(word, 3), F.lit("y")))
         .when(word.rlike("(?:ches|shes|sses|xes|zzes|[^aeo]uses)$"), _cut(word, 2))
         .otherwise(_cut(word, 1))
     )
-    return F.coalesce(lookup(word, lexicon.noun_exceptions), regular)
+
+
+def noun_lemma(word: Column, lexicon: Lexicon = ENGLISH) -> Column:
+    return F.coalesce(lookup(word, lexicon.noun_exceptions), _rule_noun_lemma(word))
+
+
+def _inflected_lemma(word: Column, lexicon: Lexicon) -> Column:
+    """Verb lemma for verb forms, noun lemma for all other words.
+
+    Both exception tables are searched at once. Verbs come first there, and a noun that looks like
+    a regular verb form is left out, as such words are tagged as verbs.
+    """
+    nouns = {
+        form: lemma
+        for form, lemma in lexicon.noun_exceptions.items()
+        if form in ED_ING_NON_VERBS or not form.endswith(("ing", "ed"))
+    }
+    regular = _indexed_verb_lemma(word, lexicon.verbs) if lexicon.verbs else _rule_verb_lemma(word)
+    return F.coalesce(
+        lookup(word, {**nouns, **lexicon.verb_exceptions}),
+        F.when(_regular_verb_form(word), regular).otherwise(_rule_noun_lemma(word)),
+    )
 
 
 def lemma(word: Column, lexicon: Lexicon = ENGLISH) -> Column:
     """Verb lemma for verbs, noun lemma for nouns and adjectives; other words stay as they are."""
-    is_verb = one_of(word, lexicon.verb_exceptions) | _regular_verb_form(word)
-    inflected = F.when(is_verb, verb_lemma(word, lexicon)).otherwise(noun_lemma(word, lexicon))
-    return F.when(is_kept(word), inflected).otherwise(word)
+    return F.when(is_kept(word), _inflected_lemma(word, lexicon)).otherwise(word)
 
 
-def keep_pos(words: Column) -> Column:
-    """Words that are nouns, adjectives or verbs."""
+def keep_pos(words: Column, dropped: Sequence[str] = ()) -> Column:
+    """Words that are nouns, adjectives or verbs, without the words of a further list."""
     return select_words(
         words,
-        f"w NOT IN ({sql_list(CLOSED_CLASS_WORDS)})"
+        f"w NOT IN ({sql_list([*CLOSED_CLASS_WORDS, *dropped])})"
         f" AND NOT (endswith(w, 'ly') AND w NOT IN ({sql_list(LY_NON_ADVERBS)}))",
     )
 
 
 def lemmatize(words: Column, lexicon: Lexicon = ENGLISH) -> Column:
     return F.transform(words, lambda word: lemma(word, lexicon))
+
+
+def lemmatize_kept(words: Column, dropped: Sequence[str] = (), lexicon: Lexicon = ENGLISH) -> Column:
+    """``keep_pos`` and ``lemmatize`` in one pass each, without testing kept words again."""
+    return F.transform(keep_pos(words, dropped), lambda word: _inflected_lemma(word, lexicon))

@@ -42,8 +42,8 @@ def normalize(
             lists = word_lists or language.built_in_stop_words()
             rows = evaluate_once(rows, found_lang=language.detect_lang(F.col("_text"), lists, min_score))
             rows = rows.filter(F.col("found_lang") == lang)
-        words = text.drop_words(text.feature_words(text.strip_non_ascii(F.col("_text"))), ENGLISH_STOP_WORDS)
-    lemmas = lexical.lemmatize(lexical.keep_pos(words), lexicon)
+        words = text.feature_words(text.strip_non_ascii(F.col("_text")))
+    lemmas = lexical.lemmatize_kept(words, () if compat else ENGLISH_STOP_WORDS, lexicon)
     cleaned = evaluate_once(rows, lemm_summary=F.array_join(lemmas, " "))
     cleaned = cleaned.select(*keep, "lemm_summary").filter(~text.is_blank(F.col("lemm_summary"), compat))
     return cleaned.dropDuplicates([*keep, "lemm_summary"]) if dedup else cleaned
