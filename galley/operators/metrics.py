@@ -52,27 +52,29 @@ def per_class_report(pairs: DataFrame) -> DataFrame:
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Precision, recall, F1 and support per class, then accuracy, macro and weighted averages.
 
-    The summary rows come from one aggregate over the per-class rows, which number as many as the
-    classes.
+    Every row is a ratio of two sums over classes. Each class adds its part to its own row and to
+    the three summary rows, so one pass over the input and two small aggregates give them all.
     """
-    report = per_class_report(pair_counts(df, label, prediction))
     names = ["precision", "recall", "f1"]
-    support = F.sum("support")
-    summary = report.agg(
-        support.alias("support"),
-        (F.sum("hits") / support).alias("accuracy"),
-        *[F.avg(m).alias(f"macro_{m}") for m in names],
-        *[(F.sum(F.col(m) * F.col("support")) / support).alias(f"weighted_{m}") for m in names],
-    )
-    row = lambda name, values: F.struct(
-        F.lit(name).alias("class"), *[v.alias(m) for v, m in zip(values, names)], F.col("support")
+
+    def part(rank: int, row: Column, measures: Sequence[Column], weight: Column) -> Column:
+        parts = [measure.cast("double").alias(name) for name, measure in zip(names, measures)]
+        return F.struct(
+            F.lit(rank).alias("rank"), row.cast("string").alias("class"), *parts,
+            weight.cast("double").alias("weight"), F.col("support").alias("support"),
+        )
+
+    plain = [F.col(name) for name in names]
+    parts = F.array(
+        part(0, F.col("class"), plain, F.lit(1)),
+        part(1, F.lit("accuracy"), [F.col("hits")] * 3, F.col("support")),
+        part(2, F.lit("macro avg"), plain, F.lit(1)),
+        part(3, F.lit("weighted avg"), [measure * F.col("support") for measure in plain], F.col("support")),
     )
-    totals = summary.select(F.inline(F.array(
-        row("accuracy", [F.col("accuracy")] * 3),
-        row("macro avg", [F.col(f"macro_{m}") for m in names]),
-        row("weighted avg", [F.col(f"weighted_{m}") for m in names]),
-    )))
-    return report.select(F.col("class").cast("string"), *names, "support").unionByName(totals)
+    report = per_class_report(pair_counts(df, label, prediction)).select(F.inline(parts))
+    ratios = [(F.sum(name) / F.sum("weight")).alias(name) for name in names]
+    summed = report.groupBy("rank", "class").agg(*ratios, F.sum("support").alias("support"))
+    return summed.orderBy("rank", "class").drop("rank")
 
 
 def f1_and_test_error(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
