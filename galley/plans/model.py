@@ -11,6 +11,7 @@ from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, IndexToString, StringIndexer, Tokenizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,21 +45,36 @@ def feature_stages(vectorizer: str = "hashing", num_features: int = 1 << 18, min
     ]
 
 
-def build_stages(labels: Sequence[str], estimator: Estimator | None = None, **feature_options) -> list:
-    """Features, classifier and the decoding of class indexes to names."""
-    return [
-        *feature_stages(**feature_options),
-        estimator or classifier(),
-        IndexToString(inputCol="prediction", outputCol="category", labels=list(labels)),
-    ]
+def class_sums(featured: DataFrame, spread_over: int = 64) -> DataFrame:
+    """Mean feature vectors and row counts per class, in a few parts.
+
+    Multinomial naive Bayes depends on the weighted sums per class alone, so fitting on these rows
+    with their counts as weights gives the same model. Fitting on single rows would send the dense
+    sums of every task to as many reducers as there are classes; here they go to
+    ``spread_over`` times as many, and few rows remain.
+    """
+    part = (F.spark_partition_id() % spread_over).alias("part")
+    summary = Summarizer.metrics("mean", "count").summary(F.col("features")).alias("summary")
+    sums = featured.groupBy("label", part).agg(summary)
+    return sums.select("label", F.col("summary.mean").alias("features"), F.col("summary.count").cast("double").alias("weight"))
+
+
+def _fit_classifier(estimator: Estimator, featured: DataFrame):
+    additive = isinstance(estimator, NaiveBayes) and estimator.getModelType() == "multinomial"
+    if additive and not estimator.isSet("weightCol"):
+        return estimator.copy().setWeightCol("weight").fit(class_sums(featured))
+    return estimator.fit(featured)
 
 
 def _fit(train: DataFrame, labelled: DataFrame, estimator: Estimator | None, **feature_options) -> PipelineModel:
+    """Label index, features, classifier and the decoding of class indexes to names, as one model."""
     # The indexer sees the whole frame, so a topic that is rare in the training part has an index.
     # It is saved with the model and ignored by frames without a topic.
     indexer = StringIndexer(inputCol="topic", outputCol="label").fit(labelled)
-    stages = build_stages(indexer.labels, estimator, **feature_options)
-    return Pipeline(stages=[indexer, *stages]).fit(train)
+    prepared = Pipeline(stages=[indexer, *feature_stages(**feature_options)]).fit(train)
+    fitted = _fit_classifier(estimator or classifier(), prepared.transform(train))
+    decoder = IndexToString(inputCol="prediction", outputCol="category", labels=indexer.labels)
+    return PipelineModel(stages=[*prepared.stages, fitted, decoder])
 
 
 @dataclass(frozen=True)

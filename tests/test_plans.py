@@ -1,6 +1,8 @@
 from datetime import datetime
 
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -70,6 +72,16 @@ def test_saved_model_scores_the_same(trained, labelled):
     assert without_topic.count() == rows.count()
 
 
+def test_class_sums_give_the_same_model(labelled):
+    """Fitting on the sums per class equals fitting on the rows."""
+    rows = normalize(labelled, lang=None).repartition(5)
+    fitted = model._fit(rows, rows, None, num_features=256)
+    direct = NaiveBayes().fit(PipelineModel(fitted.stages[:-2]).transform(rows))
+    bayes = fitted.stages[-2]
+    assert bayes.pi.toArray() == pytest.approx(direct.pi.toArray())
+    assert bayes.theta.toArray() == pytest.approx(direct.theta.toArray())
+
+
 def test_other_classifiers(labelled):
     rows = normalize(labelled, lang=None)
     forest = model.classifier("random_forest", numTrees=20, maxDepth=8, seed=1)
