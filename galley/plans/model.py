@@ -45,15 +45,18 @@ def feature_stages(vectorizer: str = "hashing", num_features: int = 1 << 18, min
     ]
 
 
-def class_sums(featured: DataFrame, spread_over: int = 64) -> DataFrame:
-    """Mean feature vectors and row counts per class, in a few parts.
+# Dense sums of this many tasks are merged by one reducer.
+TASKS_PER_PART = 256
+
+
+def class_sums(featured: DataFrame, parts: int) -> DataFrame:
+    """Mean feature vectors and row counts per class, in ``parts`` parts.
 
     Multinomial naive Bayes depends on the weighted sums per class alone, so fitting on these rows
-    with their counts as weights gives the same model. Fitting on single rows would send the dense
-    sums of every task to as many reducers as there are classes; here they go to
-    ``spread_over`` times as many, and few rows remain.
+    with their counts as weights gives the same model. Fitting on single rows sends the dense sums
+    of all tasks to as many reducers as there are classes; here they go to ``parts`` times as many.
     """
-    part = (F.spark_partition_id() % spread_over).alias("part")
+    part = (F.spark_partition_id() % parts).alias("part")
     summary = Summarizer.metrics("mean", "count").summary(F.col("features")).alias("summary")
     sums = featured.groupBy("label", part).agg(summary)
     return sums.select("label", F.col("summary.mean").alias("features"), F.col("summary.count").cast("double").alias("weight"))
@@ -61,8 +64,9 @@ def class_sums(featured: DataFrame, spread_over: int = 64) -> DataFrame:
 
 def _fit_classifier(estimator: Estimator, featured: DataFrame):
     additive = isinstance(estimator, NaiveBayes) and estimator.getModelType() == "multinomial"
-    if additive and not estimator.isSet("weightCol"):
-        return estimator.copy().setWeightCol("weight").fit(class_sums(featured))
+    parts = featured.rdd.getNumPartitions() // TASKS_PER_PART
+    if additive and parts > 1 and not estimator.isSet("weightCol"):
+        return estimator.copy().setWeightCol("weight").fit(class_sums(featured, parts))
     return estimator.fit(featured)
 
 

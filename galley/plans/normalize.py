@@ -36,7 +36,8 @@ def normalize(
     """
     rows = drop_null_rows(df.select(*keep, F.col(text_col).alias("_text")))
     if compat:
-        words = text.split_words(text.remove_features(text.remove_stop_words(F.col("_text")), compat=True))
+        # The extra spaces that compat cleaning leaves make no difference to the words behind it.
+        words = text.feature_words(text.remove_stop_words(F.col("_text")))
     else:
         if lang is not None:
             lists = word_lists or language.built_in_stop_words()

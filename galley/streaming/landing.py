@@ -14,7 +14,6 @@ from galley import schemas
 from galley.functions.records import decode_records
 from galley.operators import history as hist
 from galley.plans.scoring import classify_requests, extract_requests
-from galley.session import materialize
 
 
 def decoded(records: DataFrame, schema: StructType = schemas.ARTICLE) -> DataFrame:
@@ -49,7 +48,7 @@ def score_stream(
     repeated batch harmless.
     """
     def add_batch(batch: DataFrame, batch_id: int) -> None:
-        hist.append_history(materialize(batch, "scored"), history_path)
+        hist.append_history(batch, history_path)
 
     predictions = classify_requests(extract_requests(pages), model, predicted_at, **normalize_options)
     writer = predictions.writeStream.foreachBatch(add_batch).option("checkpointLocation", checkpoint)

@@ -72,11 +72,14 @@ def test_saved_model_scores_the_same(trained, labelled):
     assert without_topic.count() == rows.count()
 
 
-def test_class_sums_give_the_same_model(labelled):
-    """Fitting on the sums per class equals fitting on the rows."""
+def test_class_sums_give_the_same_model(labelled, monkeypatch):
+    """Fitting on the sums per class, as done for many tasks, equals fitting on the rows."""
+    monkeypatch.setattr(model, "TASKS_PER_PART", 1)
     rows = normalize(labelled, lang=None).repartition(5)
     fitted = model._fit(rows, rows, None, num_features=256)
-    direct = NaiveBayes().fit(PipelineModel(fitted.stages[:-2]).transform(rows))
+    featured = PipelineModel(fitted.stages[:-2]).transform(rows)
+    assert model.class_sums(featured, 5).count() > 5
+    direct = NaiveBayes().fit(featured)
     bayes = fitted.stages[-2]
     assert bayes.pi.toArray() == pytest.approx(direct.pi.toArray())
     assert bayes.theta.toArray() == pytest.approx(direct.theta.toArray())
