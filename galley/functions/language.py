@@ -9,7 +9,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from galley.functions.text import lookup, select_words
+from galley.functions.text import let, lookup, select_words
 from galley.functions.words import BUILT_IN_LANGUAGES, ENGLISH_STOP_WORDS
 
 TOKEN_GAP = r"[^\p{L}']+"
@@ -29,11 +29,6 @@ def built_in_stop_words(languages: Sequence[str] | None = None) -> dict[str, Seq
     return {code: _stop_words(code) for code in sorted(languages or ["en", *BUILT_IN_LANGUAGES])}
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it several times inside ``body``."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def language_score(text: Column, word_lists: Mapping[str, Sequence[str]]) -> Column:
     """Struct ``(lang, score)`` of the best language.
 
@@ -62,12 +57,12 @@ def language_score(text: Column, word_lists: Mapping[str, Sequence[str]]) -> Col
             F.when(top > 0, 1 / mass).otherwise(F.lit(0.0)).alias("score"),
         )
 
-    return _let(_let(found_masks, hits), best)
+    return let(let(found_masks, hits), best)
 
 
 def detect_lang(text: Column, word_lists: Mapping[str, Sequence[str]], min_score: float = 0.9) -> Column:
     """Code of the best language, ``NA`` below ``min_score`` or without any hit."""
-    return _let(
+    return let(
         language_score(text, word_lists),
         lambda best: F.when(best["score"] >= min_score, F.coalesce(best["lang"], F.lit("NA"))).otherwise("NA"),
     )

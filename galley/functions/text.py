@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,6 +31,11 @@ GAP = rf"[{SPACE}\p{{Nd}}]"
 KEPT_TOKEN = rf"(?<![^{SPACE}\p{{Nd}}])[a-z]{{3,}}(?![^{SPACE}\p{{Nd}}])"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times inside ``body``."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def is_blank(text: Column, compat: bool = False) -> Column:
     """All white space. The empty string counts as blank only by default, not with ``compat``."""
     return text.rlike(rf"\A[{SPACE}]{'+' if compat else '*'}\z")
@@ -87,9 +92,12 @@ def remove_features(text: Column, compat: bool = False) -> Column:
         return F.array_join(feature_words(text), " ")
     words = F.filter(F.split(_without_marks(text), f"{GAP}+"), lambda word: word != "")
     marked = F.transform(words, lambda word: F.when(word.rlike(r"\A[a-z]{3,}\z"), word).otherwise(""))
-    joined = F.array_join(marked, " ")
-    rejected_first = F.try_element_at(marked, F.lit(1)) == ""
-    return F.when(rejected_first, F.concat(F.lit(" "), joined)).otherwise(joined)
+
+    def joined(words: Column) -> Column:
+        extra = F.when(F.try_element_at(words, F.lit(1)) == "", " ").otherwise("")
+        return F.concat(extra, F.array_join(words, " "))
+
+    return let(marked, joined)
 
 
 def sql_list(words: Iterable[str]) -> str:
@@ -134,26 +142,37 @@ def non_word_split(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^A-Za-z0-9_]"), lambda token: token != "")
 
 
-def unescape_html(text: Column) -> Column:
-    """Numeric references, then the named entities."""
-    references = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});")))
+def _code_point(reference: Column) -> Column:
+    """Character of a numeric reference without its ``&#`` and ``;``."""
+    is_hex = F.lower(F.substring(reference, 1, 1)) == "x"
+    digits = F.ltrim(F.upper(reference), F.lit("X"))
+    code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    utf_32 = F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")
+    # An ampersand stays escaped until the named entities are replaced.
+    return F.when(code == 38, "&amp;").otherwise(F.decode(F.unhex(utf_32), "UTF-32"))
+
 
-    def code_point(reference: Column) -> Column:
-        digits = F.ltrim(F.upper(reference), F.lit("X"))
-        base = F.when(F.lower(F.substring(reference, 1, 1)) == "x", 16).otherwise(10)
-        code = F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        hexadecimal = F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")
-        return F.decode(F.unhex(hexadecimal), "UTF-32")
+def _numeric_unescaped(text: Column) -> Column:
+    pattern = F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});")
+    references = F.array_distinct(F.regexp_extract_all(text, pattern))
 
     def put_in(so_far: Column, reference: Column) -> Column:
-        return F.replace(so_far, F.concat(F.lit("&#"), reference, F.lit(";")), code_point(reference))
+        return F.replace(so_far, F.concat(F.lit("&#"), reference, F.lit(";")), _code_point(reference))
 
-    plain = F.when(text.contains("&#"), F.aggregate(references, text, put_in)).otherwise(text)
-    named = plain
+    return F.when(text.contains("&#"), F.aggregate(references, text, put_in)).otherwise(text)
+
+
+def _named_unescaped(text: Column) -> Column:
+    plain = text
     for entity, character in HTML_ENTITIES.items():
-        named = F.replace(named, F.lit(entity), F.lit(character))
-    return F.when(text.contains("&"), named).otherwise(text)
+        plain = F.replace(plain, F.lit(entity), F.lit(character))
+    return F.when(text.contains("&"), plain).otherwise(text)
+
+
+def unescape_html(text: Column) -> Column:
+    """Numeric references, then the named entities."""
+    return let(let(text, _numeric_unescaped), _named_unescaped)
 
 
 INVISIBLE = (

@@ -96,7 +96,7 @@ BUILT_IN_LANGUAGES = {
 # Named HTML entities that occur in running text. &amp; comes last on purpose:
 # replacing it first would turn "&amp;lt;" into "<".
 HTML_ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&copy;": "©",
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0", "&copy;": "©",
     "&reg;": "®", "&deg;": "°", "&middot;": "·", "&laquo;": "«", "&raquo;": "»",
     "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’",
     "&ldquo;": "“", "&rdquo;": "”", "&bull;": "•", "&hellip;": "…",

@@ -763,8 +763,7 @@ def run_to_end(*queries) -> None:
 def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored and published articles of both polls, each article once."""
     base = scratch_path(spark, "ingest")
-    stream = ingest.dated(ingest.response_stream(spark, landed_responses(spark, sf_dir)))
-    unique = ingest.dedup_articles(stream).drop("published_at")
+    unique = ingest.dedup_articles(ingest.response_stream(spark, landed_responses(spark, sf_dir)))
     run_to_end(ingest.ingest_stream(unique, f"{base}/stored", f"{base}/published", TOPICS, f"{base}/checkpoint"))
     stored = spark.read.parquet(f"{base}/stored").groupBy("topic").agg(F.count("*").alias("stored"))
     published = spark.read.text(f"{base}/published").groupBy("topic").agg(F.count("*").alias("published"))

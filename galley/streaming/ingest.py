@@ -26,16 +26,18 @@ def dated(articles: DataFrame) -> DataFrame:
 
 
 def dedup_articles(articles: DataFrame, key: str = "source", delay: str = "7 days", salts: int = 8) -> DataFrame:
-    """One article per key within the watermark delay; needs ``published_at``.
+    """One article per key among those that arrive within ``delay`` of each other.
 
-    Copies are removed per salted key first, so that a source sent over and over is spread over
-    ``salts`` tasks; the few survivors meet in the second step. State is bounded by the delay.
+    The watermark follows the time of arrival, not the published date. It bounds the state, and as
+    no row arrives late, old and undated articles are kept. Copies are removed per salted key first,
+    so that a source sent over and over is spread over ``salts`` tasks; the few survivors meet in
+    the second step.
     """
-    marked = articles.filter(F.col("published_at").isNotNull()).withWatermark("published_at", delay)
+    unique = articles.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", delay)
     if salts > 1:
-        salted = marked.withColumn("_salt", (F.rand() * salts).cast("int"))
-        marked = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
-    return marked.dropDuplicatesWithinWatermark([key])
+        salted = unique.withColumn("_salt", (F.rand() * salts).cast("int"))
+        unique = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+    return unique.dropDuplicatesWithinWatermark([key]).drop("_arrived")
 
 
 def batch_dedup(articles: DataFrame, key: str = "source") -> DataFrame:
@@ -70,7 +72,7 @@ def ingest_stream(
 
 
 def reject_stream(articles: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Articles whose date cannot be parsed; they carry no event time and must not hold it back."""
+    """Articles whose date cannot be parsed, for collections that need one."""
     rejected = articles.filter(F.col("published_at").isNull()).drop("published_at")
     writer = rejected.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

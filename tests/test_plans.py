@@ -156,9 +156,9 @@ def test_ingest_over_several_runs(spark, tmp_path):
     base = str(tmp_path)
     for numbers in ([1, 2, 3], [3, 4] + [2] * 20, [5]):
         responses(spark, f"{base}/landing", numbers)
-        stream = ingest.dedup_articles(ingest.dated(ingest.response_stream(spark, f"{base}/landing")))
+        stream = ingest.dedup_articles(ingest.response_stream(spark, f"{base}/landing"))
         ingest.ingest_stream(
-            stream.drop("published_at"), f"{base}/stored", f"{base}/published", ["news"], f"{base}/cp"
+            stream, f"{base}/stored", f"{base}/published", ["news"], f"{base}/cp"
         ).awaitTermination()
     stored = sorted(r["source"] for r in spark.read.parquet(f"{base}/stored").collect())
     assert stored == [f"http://l/{n}" for n in range(1, 6)]
@@ -166,17 +166,17 @@ def test_ingest_over_several_runs(spark, tmp_path):
     assert sorted(r["source"] for r in published.collect()) == ["http://l/1", "http://l/3", "http://l/5"]
 
 
-def test_undated_articles_are_rejected_not_lost(spark, tmp_path):
+def test_old_and_undated_articles_are_kept(spark, tmp_path):
     base = str(tmp_path)
-    responses(spark, f"{base}/landing", [1, 2])
-    responses(spark, f"{base}/landing", [7], date="someday")
-    stream = ingest.dated(ingest.response_stream(spark, f"{base}/landing"))
-    ingest.reject_stream(stream, f"{base}/rejected", f"{base}/cp1").awaitTermination()
-    landing.land_stream(ingest.dedup_articles(stream), f"{base}/stored", f"{base}/cp2").awaitTermination()
-    assert spark.read.json(f"{base}/rejected").count() == 2
-    assert spark.read.parquet(f"{base}/stored").count() == 2
+    for numbers, date in (([1, 2], "2024-01-01 00:00:%02d"), ([7], "someday"), ([8], "1999-01-01 00:00:00")):
+        responses(spark, f"{base}/landing", numbers, date)
+        stream = ingest.dated(ingest.response_stream(spark, f"{base}/landing"))
+        ingest.reject_stream(stream, f"{base}/rejected", f"{base}/cp1").awaitTermination()
+        landing.land_stream(ingest.dedup_articles(stream), f"{base}/stored", f"{base}/cp2").awaitTermination()
+    assert [r["source"] for r in spark.read.json(f"{base}/rejected").collect()] == ["http://l/7"] * 2
+    assert sorted(r["source"][-1] for r in spark.read.parquet(f"{base}/stored").collect()) == ["1", "2", "7", "8"]
     batch = ingest.batch_dedup(ingest.dated(articles.flatten_api_articles(articles.read_api_responses(spark, f"{base}/landing"))))
-    assert batch.filter(F.col("published_at").isNotNull()).count() == 2
+    assert batch.filter(F.col("published_at").isNotNull()).count() == 3
 
 
 def test_landing_resumes_from_its_checkpoint(spark, tmp_path):

@@ -81,6 +81,17 @@ def test_article_text(spark):
     assert apply(spark, [html, "<p>none</p>"], text.extract_article_text) == ["Fish & chips It's <good>, A�", ""]
 
 
+def test_entities_are_unescaped_once(spark):
+    values = ["&#38;lt; &amp;lt; &amp;#39; &lt;", "&hellip;&nbsp;&#x1F600;&#55555555; &x;"]
+    assert apply(spark, values, text.unescape_html) == ["&lt; &lt; &#39; <", "…\u00a0\U0001F600&#55555555; &x;"]
+
+
+def test_long_article(spark):
+    body = "word " * 400_000
+    found = apply(spark, [f"<article><p>{body}</p></article>"], text.extract_article_text)
+    assert found == [body.strip()]
+
+
 def test_table_text(spark):
     page = (
         '<table class="other"><tr><td>Text</td><td>wrong</td></tr></table>'
