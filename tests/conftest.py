@@ -12,7 +12,6 @@ def build_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="galley-test-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="galley-warehouse-"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
