@@ -8,6 +8,7 @@ from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, HashingTF,
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galley.functions.text import let
 from galley.session import materialize
 
 # Terms above this share of all (document, term) pairs number at most its inverse, so a table of
@@ -33,21 +34,36 @@ def split(df: DataFrame, key: Column, percent: int = 80) -> tuple[DataFrame, Dat
     return df.filter(bucket < percent), df.filter(bucket >= percent)
 
 
-def term_counts(df: DataFrame, tokens: Column | str, key: Sequence[str] = ()) -> DataFrame:
-    """Occurrences per term, within each key if given; partial counts are merged per task."""
-    return df.select(*key, F.explode(tokens).alias("term")).groupBy(*key, "term").agg(F.count("*").alias("tf"))
+def row_term_counts(tokens: Column | str) -> Column:
+    """Array of ``(term, tf)`` of the row's tokens.
 
+    A run of equal terms in the sorted array ends where the next one differs; the distance to the
+    end before it is the count. No token leaves its row.
+    """
+    def ends(run: Column) -> Column:
+        positions = F.when(F.size(run) > 0, F.sequence(F.lit(1), F.size(run)))
+        return F.filter(positions, lambda i: ~F.element_at(run, i).eqNullSafe(F.get(run, i)))
+
+    def counted(run: Column, last: Column) -> Column:
+        return F.transform(last, lambda end, k: F.struct(
+            F.element_at(run, end).alias("term"),
+            (end - F.coalesce(F.get(last, k - 1), F.lit(0))).cast("bigint").alias("tf"),
+        ))
+
+    return let(F.sort_array(tokens), lambda run: let(ends(run), lambda last: counted(run, last)))
 
-def vocabulary_counts(df: DataFrame, tokens: str) -> DataFrame:
+
+def vocabulary_counts(df: DataFrame, tokens: Column | str) -> DataFrame:
     """Occurrences and document frequency of each term.
 
-    A row marks its distinct terms itself, so the only shuffle is the one by term.
+    Each row brings every term once with its count, so the only shuffle is the one by term, behind
+    partial sums.
     """
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    each = F.transform(tokens, lambda t: F.struct(t.alias("term"), one.alias("tf"), zero.alias("df")))
-    once = F.transform(F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), zero.alias("tf"), one.alias("df")))
-    marked = df.select(F.inline(F.concat(each, once)))
-    return marked.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    return (
+        df.select(F.inline(row_term_counts(tokens)))
+        .groupBy("term")
+        .agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
+    )
 
 
 def document_frequencies(counts: DataFrame) -> DataFrame:
@@ -59,16 +75,16 @@ def inverse_frequency(n_documents: Column, df: Column, min_doc_freq: int) -> Col
     return F.when(df >= min_doc_freq, F.ln((n_documents + 1) / (df + 1))).otherwise(F.lit(0.0))
 
 
-def tf_idf(df: DataFrame, key: str, tokens: Column | str, min_doc_freq: int = 3) -> DataFrame:
-    """``(key, term, tf, df, tf_idf)`` with exact terms instead of hash buckets.
+def tf_idf(df: DataFrame, key: str, tokens: Column, min_doc_freq: int = 3) -> DataFrame:
+    """``(key, term, tf, df, tf_idf)`` with exact terms instead of hash buckets; one row per key.
 
-    The counts per (key, term) are read three times, so they are written once. A frequent term
-    occurs in a large part of these pairs, and a plain join would send that part to one task. Terms
-    above a frequency threshold are few by construction and are broadcast; the groups of the
-    remaining terms are bounded by the threshold and joined by a shuffle.
+    Terms are counted within their row. The pairs are read three times, so they are written once. A
+    frequent term occurs in a large part of them, and a plain join would send that part to one
+    task. Terms above a frequency threshold are few by construction and are broadcast; the groups of
+    the remaining terms are bounded by the threshold and joined by a shuffle.
     """
     n_documents = df.agg(F.count("*")).scalar()
-    counts = materialize(term_counts(df, tokens, [key]), "term_counts")
+    counts = materialize(df.select(key, F.inline(row_term_counts(tokens))), "term_counts")
     frequencies = document_frequencies(counts)
     threshold = F.greatest(F.lit(MIN_HOT_FREQUENCY), counts.agg(F.count("*") / MAX_HOT_TERMS).scalar())
     is_hot = F.col("df") > threshold

@@ -156,7 +156,7 @@ def test_tf_idf_with_hot_terms(spark, monkeypatch, hot_frequency):
     monkeypatch.setattr(features, "MIN_HOT_FREQUENCY", hot_frequency)
     documents = [(i, ["the", "the", f"w{i % 7}", *(["rare"] if i < 2 else [])]) for i in range(60)]
     frame = spark.createDataFrame(documents, "id int, tokens array<string>")
-    found = {(r["id"], r["term"]): r["tf_idf"] for r in features.tf_idf(frame, "id", "tokens").collect()}
+    found = {(r["id"], r["term"]): r["tf_idf"] for r in features.tf_idf(frame, "id", F.col("tokens")).collect()}
     import math
     from collections import Counter
     df = Counter(t for _, tokens in documents for t in set(tokens))
@@ -168,6 +168,15 @@ def test_tf_idf_with_hot_terms(spark, monkeypatch, hot_frequency):
     assert all(found[k] == pytest.approx(expected[k]) for k in expected)
 
 
+def test_row_term_counts(spark):
+    frame = spark.createDataFrame([(["b", "a", "b", "b"],), (["x"],), ([],), (None,)], "t array<string>")
+    found = [row[0] for row in frame.select(features.row_term_counts(F.col("t"))).collect()]
+    assert [[tuple(e) for e in row] if row is not None else None for row in found] == [
+        [("a", 1), ("b", 3)], [("x", 1)], None, None
+    ]
+    assert frame.select(F.inline(features.row_term_counts(F.col("t")))).count() == 3
+
+
 def test_costly_columns_are_computed_once(spark, capsys):
     frame = spark.range(5).selectExpr("cast(id AS string) AS s")
     marked = evaluate_once(frame, t=F.regexp_replace("s", "3", "")).filter("t <> ''")
