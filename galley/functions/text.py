@@ -22,6 +22,7 @@ WORD = r"\p{L}\p{N}_"
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 DIGITS = "0123456789"
 
+# What counts as a link, a mention and a word to keep.
 URL = (
     rf"https?://(?:www[^\n])?[{WORD}]+\.[{WORD}]+"
     rf"[/{WORD}]*?(?=//|[^/{WORD}]|\z)/?"

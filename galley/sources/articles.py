@@ -14,18 +14,15 @@ CORRUPT = "_corrupt_record"
 
 
 def _read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool) -> DataFrame:
+    """Columns of ``schema`` by their header names, in any order and case, plus the corrupt text."""
     # Quotes inside a field are doubled. Fields may hold line breaks, so files are read whole;
     # collections without line breaks can set multi_line=False to have large files split.
-    return (
-        spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
+    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
+    fields = [StructField(name, StringType()) for name in [*reader.csv(path).columns, CORRUPT]]
+    rows = (
+        reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(StructType(fields)).csv(path)
     )
+    return rows.select(*[F.col(name).alias(name) for name in [*schema.fieldNames(), CORRUPT]])
 
 
 def read_articles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

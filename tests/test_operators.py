@@ -24,6 +24,12 @@ def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     assert schemas.LABELLED_ARTICLE.fieldNames() == ["topic", "title", "summary"]
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "train.csv"
+    path.write_text("Summary,id,TOPIC,Title\ns,1,World,t\n")
+    assert rows(articles.read_articles(spark, str(path))) == [("World", "t", "s", None)]
+
+
 def test_csv_keeps_corrupt_rows(spark, tmp_path):
     path = tmp_path / "summaries.csv"
     path.write_text("summary\nfine\na,b,c\n")
