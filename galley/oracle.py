@@ -6,11 +6,10 @@ ones. Only the word tables and rule patterns are shared with the Spark expressio
 
 from __future__ import annotations
 
-import zipfile
 from collections.abc import Iterable, Mapping
-from pathlib import Path
 
-import pyspark
+from pyspark.ml.feature import StopWordsRemover
+from pyspark.sql import SparkSession
 
 from galley.functions import lexical
 from galley.functions.words import (
@@ -64,11 +63,9 @@ def has(words: Iterable[str], x: str) -> str:
 
 
 def spark_stop_words(language: str) -> set[str]:
-    """A stop-word list from the resources of the installed Spark."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        lines = archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode().splitlines()
-    return {line.strip() for line in lines}
+    """A stop-word list shipped with Spark, asked of the running session (or of a new one)."""
+    SparkSession.builder.getOrCreate()
+    return {word.strip() for word in StopWordsRemover.loadDefaultStopWords(language)}
 
 
 def without_urls(x: str) -> str:
