@@ -11,12 +11,12 @@ import os
 import re
 
 import numpy as np
-import regex
 
-#: Fixed value: the pattern by which the byte-level tokenizer splits text.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Outside of these characters the two regular expression libraries might differ on a class.
-_OTHER = re.compile("[^\t\n\r -~¡-ſ]")
+#: Fixed value: the pattern by which a byte-level tokenizer splits text, over the characters below, of
+#: which word characters are letters, digits and the underscore.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+#: Plain Latin without raised digits and fractions.
+_OTHER = re.compile("[^\t\n\r -~¡-±´-¸º»¿-ſ]")
 #: Words remembered by a worker before it starts afresh; this bounds memory only.
 REMEMBERED = 200_000
 
@@ -31,7 +31,7 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         added = sorted(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
-        self.split = regex.compile(PATTERN).findall
+        self.split = re.compile(PATTERN).findall
         self._forget()
 
     def _forget(self) -> None:

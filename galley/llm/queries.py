@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import decontaminate, token_counts, token_files
+from galley.llm import bpe, decontaminate, language_id, token_counts, token_files, toxicity, url_filter
 from galley.llm.common import table
 from galley.session import scratch_path
 
@@ -18,11 +18,29 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each line of every document."""
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), rule="start")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("word_bpe_49k.json")
+    tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, columns=["doc_id"]), path)
+    return bpe.id_digest(tokens).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), model)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=0)
@@ -41,10 +59,19 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
+    "op5_bpe": op5_bpe,
+    "op7_url_filter": op7_url_filter,
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
+    "op10_language_id": op10_language_id,
 }
 
 _WORDS = (
