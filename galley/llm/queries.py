@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import bpe, decontaminate, language_id, token_counts, token_files, toxicity, url_filter
+from galley.llm import bpe, decontaminate, language_id, near_dup, token_counts, token_files, toxicity, url_filter
 from galley.llm.common import table
 from galley.session import scratch_path
 
@@ -28,6 +28,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), rule="start")
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("word_bpe_49k.json")
     tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, columns=["doc_id"]), path)
@@ -67,6 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
+    "op4_minhash": op4_minhash,
     "op5_bpe": op5_bpe,
     "op7_url_filter": op7_url_filter,
     "op8_token_files": op8_token_files,
