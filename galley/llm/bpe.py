@@ -1,6 +1,6 @@
 """Byte-pair encoding with a tokenizer file, by an index of pair occurrences, and decoding.
 
-A task reads about 32 MB of text, numbers its distinct words, and encodes the new ones together. The
+A task reads about 16 MB of text, numbers its distinct words, and encodes the new ones together. The
 symbols of all these words lie in one array with links to their neighbours. An index maps the rank of
 each mergeable pair to all positions at which the pair stands. Ranks are taken in ascending order from
 a heap; one step merges a pair at all of its positions, relinks the neighbours and enters the pairs
@@ -24,6 +24,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,10 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
 _OTHER = re.compile("[^\t\n\r -~¡-±´-¸º»¿-įı-ſ]")
 _NEVER = np.int64(1) << 40
 #: Text bytes whose new words are encoded together, and words remembered by a worker.
-BLOCK_BYTES = 32 << 20
-REMEMBERED = 300_000
+BLOCK_BYTES = 16 << 20
+REMEMBERED = 200_000
+#: Text bytes split into words at a time.
+SLICE = 1 << 20
 
 
 def byte_characters() -> list[str]:
@@ -205,29 +208,44 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", columns: list[str] | None = None, ids: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame, tokenizer: str, text: str = "text", columns: list[str] | None = None, ids: str = "ids", as_bytes: bool = False, decoded: str | None = None
+) -> DataFrame:
     """``columns`` (default: all but the text) and the ids of the whole text, ``array<int>``.
 
-    The new column gets underscores if its name is taken.
+    With ``as_bytes`` the ids are little-endian unsigned 32-bit integers in a binary column; with
+    ``decoded`` a column of that name holds the text decoded from the ids. New columns get underscores
+    if their names are taken.
     """
     columns = [c for c in docs.columns if c != text] if columns is None else columns
     ids = fresh(ids, columns)
+    decoded = decoded and fresh(decoded, [*columns, ids])
     carried = list(dict.fromkeys([*columns, text]))
+    names = [*columns, ids, *([decoded] if decoded else [])]
 
     def emit(tool, held):
         tool.learn()
         for batch, numbers, ends in held:
             flat, offsets = tool.gather(numbers, ends)
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), lists], [*columns, ids])
+            places = pa.array(offsets, pa.int32())
+            if as_bytes:
+                data = pa.py_buffer(flat.astype("<u4").tobytes())
+                found = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.array(4 * offsets, pa.int32()).buffers()[1], data])
+            else:
+                found = pa.ListArray.from_arrays(places, pa.array(flat, pa.int32()))
+            out = [*(batch.column(c) for c in columns), found]
+            if decoded:
+                tokens, cuts = list(map(tool.tokens.__getitem__, flat.tolist())), offsets.tolist()
+                out.append(pa.array([" ".join(tokens[a:b]) for a, b in zip(cuts[:-1], cuts[1:])], pa.string()))
+            yield pa.RecordBatch.from_arrays(out, names)
 
     def run(batches):
         tool, held, size = encoder(tokenizer), [], 0
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SLICE):
             words = [tool.words(value or "") for value in batch.column(text).to_pylist()]
             ends = np.cumsum([len(x) for x in words])
-            numbers = np.fromiter((n for x in words for n in map(tool.numbers.__getitem__, x)), np.int64, int(ends[-1]))
-            size += batch.column(text).nbytes
+            numbers = np.fromiter((n for x in words for n in map(tool.numbers.__getitem__, x)), np.int32, int(ends[-1]))
+            size += pc.sum(pc.binary_length(batch.column(text))).as_py() or 0
             held.append((batch if text in columns else batch.drop_columns([text]), numbers, ends))
             if size > BLOCK_BYTES:
                 yield from emit(tool, held)
@@ -237,7 +255,8 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", columns: list[st
         yield from emit(tool, held)
 
     kept = docs.select(*[F.col(f"`{c}`") for c in carried])
-    return kept.mapInArrow(run, ddl(kept.select(*[F.col(f"`{c}`") for c in columns]), f"`{ids}` array<int>"))
+    more = [f"`{ids}` {'binary' if as_bytes else 'array<int>'}", *([f"`{decoded}` string"] if decoded else [])]
+    return kept.mapInArrow(run, ddl(kept.select(*[F.col(f"`{c}`") for c in columns]), *more))
 
 
 def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -254,20 +273,3 @@ def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", decoded: str = "
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, decoded])
 
     return tokens.mapInArrow(run, ddl(tokens, f"`{decoded}` string"))
-
-
-def id_digest(tokens: DataFrame, ids: str = "ids", digest: str = "ids_sha256") -> DataFrame:
-    """All columns and the SHA-256 of the ids as little-endian unsigned 32-bit integers."""
-    import hashlib
-
-    names = tokens.columns
-    digest = fresh(digest, names)
-
-    def run(batches):
-        for batch in batches:
-            lists = batch.column(ids)
-            values, offsets = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
-            sums = [hashlib.sha256(values[a:b].tobytes()).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.string())], [*names, digest])
-
-    return tokens.mapInArrow(run, ddl(tokens, f"`{digest}` string"))

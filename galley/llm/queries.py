@@ -34,9 +34,12 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("word_bpe_49k.json")
-    tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, columns=["doc_id"]), path)
-    return bpe.id_digest(tokens).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    tokens = bpe.encode(table(spark, sf_dir, "documents"), path, columns=["doc_id"], as_bytes=True, decoded="decoded")
+    return tokens.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
