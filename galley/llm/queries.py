@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley.llm import bpe, decontaminate, language_id, near_dup, token_counts, token_files, toxicity, url_filter
+from galley.llm import bpe, cover_tree, decontaminate, language_id, near_dup, suffix_dedup, token_counts, token_files, toxicity, url_filter
 from galley.llm.common import table
 from galley.session import scratch_path
 
@@ -18,6 +18,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated(table(spark, sf_dir, "documents"), length=50, unit="bytes").drop("spans")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -43,6 +47,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = url_filter.train(url_filter.labelled_urls(spark))
     return url_filter.judge(table(spark, sf_dir, "pages"), model)
@@ -72,10 +80,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
     "op4_minhash": op4_minhash,
     "op5_bpe": op5_bpe,
+    "op6_cover_tree": op6_cover_tree,
     "op7_url_filter": op7_url_filter,
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
@@ -88,6 +98,15 @@ _WORDS = (
 )
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_cover_tree": """
+      WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+      SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5""",
     "op9_decontaminate": f"""
       WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
       b AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
