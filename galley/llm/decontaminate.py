@@ -168,7 +168,7 @@ def _scan(frame, sent, text, out, names):
 def cut_words(text: bytes, hits: list[int]) -> bytes:
     """``text`` without each run of hit words, from its first to its last byte."""
     marked, kept, at, run = set(hits), [], 0, None
-    for position, match in enumerate(WORD.finditer(text)):
+    for position, match in enumerate(WORD.finditer(text.lower())):
         if position in marked:
             run = (run[0] if run else match.start(), match.end())
         elif run:

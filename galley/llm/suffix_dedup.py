@@ -338,13 +338,13 @@ def _sorted_groups(groups: np.ndarray, at: np.ndarray, ids: np.ndarray, data: np
     """Step 3: numbers of the suffixes in repeated runs, and the smallest document of each one's run.
 
     One pass a digit of eight bytes, most significant first, over suffixes that start at byte ``at``;
-    groups of one document are dropped after each pass. The last digit may overlap the one before.
+    groups of one document are dropped after each pass. The last digit may be shorter.
     """
     eight = np.ndarray(len(data) - 7, ">u8", data, strides=(1,))
     left = np.arange(len(at))
     lowest = ids
-    for shift in [*range(0, width - 7, 8), *([width - 8] if width % 8 else [])]:
-        value = eight[at[left] + shift]
+    for shift in range(0, width, 8):
+        value = eight[at[left] + shift].astype(np.uint64) >> np.uint64(max(0, 8 * (shift + 8 - width)))
         order = np.lexsort((value, groups))
         left, groups, value = left[order], groups[order], value[order]
         new = np.ones(len(left), bool)
