@@ -2,16 +2,17 @@
 
 Two zstandard dictionaries are made from labelled texts: one of ordinary text, and one that holds in
 addition the strings typical of toxic text. Every window of a text is compressed with both; a window
-that the toxic dictionary makes shorter by some bytes holds such strings. A logistic regression turns
+that the toxic dictionary makes shorter by some bytes holds such words. A logistic regression turns
 the lengths won over a text's windows into a probability, and is calibrated on sampled texts that no
 dictionary was made from.
 
-Strings are typical of toxic text if their 6-grams stand in at least ``TYPICAL_SHARE`` of the sampled
-toxic texts and ``TYPICAL_TIMES`` as often as in ordinary ones. Near copies of sampled texts count once, as a
-passage copied many times would otherwise look typical.
+A start of a word is typical of toxic text if it is in ``TYPICAL_TIMES`` as many toxic as ordinary texts,
+and significantly so. Near copies of sampled texts count once, as a passage copied many times would
+otherwise look typical.
 
-At most ``2 * sample_rows`` labelled rows of a class reach the driver, of texts of at most
-``sampling.LONGEST_SAMPLED`` bytes; every text is scored whole. Labels come from rows that are not held
+At most ``4 * sample_rows`` labelled rows of a class reach the driver (about ``sample_rows`` toxic and
+twice as many ordinary ones), of texts of at most ``sampling.LONGEST_SAMPLED`` bytes; every text is scored
+whole. Labels come from rows that are not held
 out. Null and empty texts have no window and get the score of a text without any sign. Without labelled
 texts of both classes every score is 0. Rows that repeat are scored each on its own; a text labelled
 twice is toxic if one label says so. Columns that the operator does not need are ignored by ``score``
@@ -35,14 +36,16 @@ from galley.llm.sampling import LONGEST_SAMPLED, held_out, sampled
 
 WINDOW, STEP = 48, 32
 GRAM = 6
+PAD = 16
 DICTIONARY_BYTES = 8192
 TYPICAL_BYTES = 4096
-TYPICAL_SHARE, TYPICAL_TIMES = 0.02, 50
+TYPICAL_RATIO, TYPICAL_TIMES = 22, 20
+STEM, LONGEST_START, AGREE = 5, 14, 0.6
 THRESHOLD = 0.7
-#: Bytes a window must win to count.
-WON = 2
-#: A word, or its start, with the blank before it.
-_PIECE = re.compile(rb"\s\S{4,}")
+#: A word of four bytes or more with the blank before it.
+_WORD = re.compile(rb"[\s][^\s!-/:-@\[-`{-~]{4,}")
+#: Bytes won by which windows are counted.
+WON = (2, 4, 6)
 _SPACE = 1 << 22
 _SLICE = 1 << 20
 
@@ -79,23 +82,53 @@ def _distinct(texts: list[bytes]) -> list[bytes]:
     return kept
 
 
-def _shares(texts: list[bytes]) -> np.ndarray:
-    counts = np.zeros(_SPACE, np.int32)
+def _counts(texts: list[bytes]) -> Counter[bytes]:
+    """In how many texts each start of a word stands, the blank before it included."""
+    counts: Counter[bytes] = Counter()
     for text in texts:
-        counts[np.unique(_grams(text))] += 1
-    return counts / max(1, len(texts))
+        words = set(_WORD.findall(b" " + text))
+        counts.update({w[:n] for w in words for n in range(STEM, min(len(w), LONGEST_START) + 1)})
+    return counts
+
+
+def _filled(words: list[bytes], size: int) -> bytes:
+    """The first words that fit, the first of them last: matches near the end cost least."""
+    chosen, held = [], 0
+    for word in words:
+        if held + len(word) <= size:
+            chosen.append(word)
+            held += len(word)
+    return b"".join(reversed(chosen))
+
+
+def typical_starts(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """The shortest starts of words that are far more frequent in toxic texts, by a likelihood ratio test."""
+    counts, others = _counts(toxic), _counts(ordinary)
+    a, b = len(toxic), len(ordinary)
+    chosen: set[bytes] = set()
+    for start in sorted(counts, key=lambda w: (len(w), w)):
+        n, m = counts[start], others[start]
+        if m * a * TYPICAL_TIMES > n * b or any(start[:size] in chosen for size in range(STEM, len(start))):
+            continue
+        share = (n + m) / (a + b)
+        if 2 * (n * np.log(n / (a * share)) + (m * np.log(m / (b * share)) if m else 0)) > TYPICAL_RATIO:
+            chosen.add(start)
+    return sorted(chosen, key=lambda w: (-counts[w], w))
 
 
 def typical_strings(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Starts of words made of typical grams, the most frequent first."""
-    share, other = _shares(toxic), _shares(ordinary)
-    typical = (share >= max(TYPICAL_SHARE, 3 / max(1, len(toxic)))) & (other * TYPICAL_TIMES <= share)
-    runs: Counter[bytes] = Counter()
-    for text in toxic:
-        at = np.flatnonzero(typical[_grams(text)])
-        for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(at) else ():
-            runs.update(_PIECE.findall(text[run[0] : run[-1] + GRAM]))
-    return [run for run, count in sorted(runs.items(), key=lambda x: (-x[1], x[0])) if count >= 3]
+    """Typical starts, each as far as most of its words agree."""
+    starts = typical_starts(toxic, ordinary)
+    counts = _counts(toxic)
+    longer: dict[bytes, tuple[int, bytes]] = {}
+    for word, n in counts.items():
+        longer[word[:-1]] = max(longer.get(word[:-1], (0, b"")), (n, word))
+    typical = []
+    for start in starts:
+        while longer.get(start, (0, b""))[0] >= AGREE * counts[start]:
+            start = longer[start][1]
+        typical.append(start)
+    return list(dict.fromkeys(typical))
 
 
 @dataclass
@@ -115,24 +148,20 @@ class ToxicityModel:
         )
 
     def features(self, texts: list[bytes], tools) -> np.ndarray:
-        """Per text: windows won (logarithm), their share, bytes won by the best four windows."""
+        """Per text: logarithms of the windows that won so many bytes or more, and the share of those of the second bound."""
         found = [windows(t.lower()) for t in texts]
         counts = np.array([len(w) for w in found], np.int64)
-        joined = [w for part in found for w in part]
-        out = np.zeros((len(texts), 3))
+        # the same known bytes before each window: else a window without any match is stored, whatever else it holds
+        joined = [self.ordinary[-PAD:] + w for part in found for w in part]
+        out = np.zeros((len(texts), len(WON) + 1))
         if not joined:
             return out
         lengths = [np.fromiter(map(len, tool.multi_compress_to_buffer(joined, threads=0)), np.int64, len(joined)) for tool in tools]
         won = lengths[0] - lengths[1]
         row = np.repeat(np.arange(len(texts)), counts)
-        hits = np.bincount(row[won >= WON], minlength=len(texts))
-        out[:, 0] = np.log1p(hits)
-        out[:, 1] = np.sqrt(hits / np.maximum(counts, 1))
-        best = np.flatnonzero(won >= WON)
-        best = best[np.lexsort((-won[best], row[best]))]
-        rank = np.arange(len(best)) - np.searchsorted(row[best], row[best])
-        best = best[rank < 4]
-        out[:, 2] = np.bincount(row[best], np.minimum(won[best], 12) - 2, len(texts)) / 10
+        for column, bound in enumerate(WON):
+            out[:, column] = np.log1p(np.bincount(row[won >= bound], minlength=len(texts)))
+        out[:, -1] = np.sqrt(np.bincount(row[won >= WON[1]], minlength=len(texts)) / np.maximum(counts, 1))
         return out
 
     def scores(self, texts: list[bytes], tools) -> np.ndarray:
@@ -158,7 +187,7 @@ def _logistic(rows: np.ndarray, labels: np.ndarray, importance: np.ndarray, pena
     return weights
 
 
-def train(toxic: list[bytes], ordinary: list[bytes], toxic_share: float = 0.4) -> ToxicityModel:
+def train(toxic: list[bytes], ordinary: list[bytes], toxic_share: float = 0.25) -> ToxicityModel:
     """Dictionaries from two of three texts, calibration on the third; ``toxic_share`` is the weight of the toxic ones."""
     toxic, ordinary = (_distinct([t.lower() for t in texts]) for texts in (toxic, ordinary))
     if len(toxic) < 3 or len(ordinary) < 3:
@@ -170,17 +199,12 @@ def train(toxic: list[bytes], ordinary: list[bytes], toxic_share: float = 0.4) -
         base = zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=32, d=8).as_bytes()
     except zstandard.ZstdError:  # too few samples to choose from
         base = b"".join(samples)[-DICTIONARY_BYTES:]
-    added, size = [], 0
-    for run in typical_strings(toxic_fit, ordinary_fit):
-        if size + len(run) <= TYPICAL_BYTES and not any(held in run for held in added):
-            added.append(run)
-            size += len(run)
-    model = ToxicityModel(base, b"".join(reversed(added)) + base)
+    typical = typical_strings(toxic_fit, ordinary_fit)
+    model = ToxicityModel(base, _filled(typical, TYPICAL_BYTES) + base)
     tools = model.compressors()
-    rows = model.features([*toxic_kept, *ordinary_kept], tools)
     labels = np.repeat([1.0, 0.0], [len(toxic_kept), len(ordinary_kept)])
     importance = np.where(labels == 1, toxic_share / len(toxic_kept), (1 - toxic_share) / len(ordinary_kept)) * len(labels)
-    model.weights = _logistic(rows, labels, importance)
+    model.weights = _logistic(model.features([*toxic_kept, *ordinary_kept], tools), labels, importance)
     return model
 
 
@@ -193,9 +217,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2500, doc_id: str
     )
     frame = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).where(F.octet_length("text") <= LONGEST_SAMPLED)
     texts: dict[int, list[bytes]] = {}
-    for label in (1, 0):
-        chosen = sampled(known.where(F.col("toxic") == label), sample_rows, "id", "toxicity").select("id")
-        rows = frame.join(F.broadcast(chosen), "id").limit(2 * sample_rows).collect()  # at most 2 * sample_rows ids are broadcast
+    for label, size in ((1, sample_rows), (0, 2 * sample_rows)):
+        chosen = sampled(known.where(F.col("toxic") == label), size, "id", "toxicity").select("id")
+        rows = frame.join(F.broadcast(chosen), "id").limit(2 * size).collect()  # at most 2 * size ids are broadcast
         texts[label] = [r.text.encode() for r in sorted(rows, key=lambda r: (r.id, r.text))]
     return train(texts[1], texts[0])
 
