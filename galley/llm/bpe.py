@@ -21,6 +21,7 @@ import heapq
 import json
 import os
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galley.llm.common import ddl, fresh, slices
+from galley.llm.pieces import LETTERS, Numbers
 
 #: Fixed value: the pattern by which the word-level file splits lower-cased text, over the characters
-#: below, of which word characters are letters, digits and the underscore. The rest is dropped.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
+#: below. Letters come first, as nothing else starts like them. The rest is dropped.
+PATTERN = rf"[{LETTERS}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\s0-9{LETTERS}]+"
 #: Plain Latin without raised digits and fractions: lower-casing is one to one, composition changes nothing.
 _OTHER = re.compile("[^\t\n\r -~¡-±´-¸º»¿-įı-ſ]")
 _NEVER = np.int64(1) << 40
@@ -133,14 +135,6 @@ class PairIndex:
         return symbol[alive].astype(np.int32), np.bincount(word[alive], minlength=len(words))
 
 
-class _Numbers(dict):
-    """Words numbered in order of appearance."""
-
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        return number
-
-
 class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -160,7 +154,7 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.numbers = _Numbers()
+        self.numbers = Numbers()
         self.flat, self.starts = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def words(self, text: str) -> list[str]:
@@ -178,7 +172,7 @@ class WordEncoder:
 
     def learn(self) -> None:
         """Encode the words numbered since the last call."""
-        words = list(self.numbers)[len(self.starts) - 1 :]
+        words = list(islice(self.numbers, len(self.starts) - 1, None))
         plain = [w.encode("utf-8", "surrogateescape") for w in words if w[0] != "\n"]
         ids, sizes = self.index.encode(plain) if plain else (np.empty(0, np.int32), np.empty(0, np.int64))
         if len(plain) < len(words):

@@ -9,16 +9,27 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain, islice
 
 import numpy as np
 
-#: Fixed value: the pattern by which a byte-level tokenizer splits text, over the characters below, of
-#: which word characters are letters, digits and the underscore.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+#: Letters of plain Latin, and the pattern by which a byte-level tokenizer splits text, over
+#: the characters below. Letters come first, as nothing else starts like them and most words are letters.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
+PATTERN = rf" ?[{LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+"
 #: Plain Latin without raised digits and fractions.
 _OTHER = re.compile("[^\t\n\r -~¡-±´-¸º»¿-ſ]")
+_ASCII = bytes([0x09, 0x0A, 0x0D, *range(0x20, 0x7F)])
 #: Words remembered by a worker before it starts afresh; this bounds memory only.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+
+
+class Numbers(dict):
+    """Words numbered in order of appearance."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
 
 
 class PieceEncoder:
@@ -29,21 +40,26 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        added = sorted(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
-        self.special = re.compile("|".join(map(re.escape, added))) if added else None
+        self.special = sorted(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
         self.split = re.compile(PATTERN).findall
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[str, int] = {}
+        self.numbers = Numbers()
         self.flat, self.starts = np.empty(0, np.int32), np.zeros(1, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        for word in words:
-            self.numbers[word] = len(self.numbers)
+    def _learn(self) -> None:
+        """Encode the words numbered since the last call."""
+        words = list(islice(self.numbers, len(self.starts) - 1, None))
+        found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)] if words else []
         self.flat = np.concatenate([self.flat, *found])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) for x in found])])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)])
+
+    def plain(self, text: str) -> bool:
+        """Whether the text may be split here."""
+        if text.isascii():
+            return not text.encode().translate(None, _ASCII) and not any(s in text for s in self.special)
+        return not _OTHER.search(text) and not any(s in text for s in self.special)
 
     def byte_lengths(self) -> np.ndarray:
         """Bytes of text behind each id. A token of a byte-level vocabulary has a character a byte."""
@@ -56,10 +72,9 @@ class PieceEncoder:
         if len(self.numbers) > REMEMBERED:
             self._forget()
         words = [self.split(text) for text in texts]
-        joined = [word for found in words for word in found]
-        if new := [word for word in dict.fromkeys(joined) if word not in self.numbers]:
-            self._learn(new)
-        numbers = np.fromiter(map(self.numbers.__getitem__, joined), np.int64, len(joined))
+        total = sum(map(len, words))
+        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int64, total)
+        self._learn()
         sizes = self.starts[numbers + 1] - self.starts[numbers]
         before = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.flat[np.arange(before[-1]) + np.repeat(self.starts[numbers] - before[:-1], sizes)]
@@ -68,7 +83,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each text has."""
-        odd = [bool(_OTHER.search(t) or (self.special and self.special.search(t))) for t in texts]
+        odd = [not self.plain(t) for t in texts]
         if not any(odd):
             return self._encode_plain(texts)
         ids, counts = self._encode_plain([t for t, is_odd in zip(texts, odd) if not is_odd])
