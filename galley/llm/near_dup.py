@@ -148,9 +148,9 @@ def _cells(classes: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(counts[cells])], ["cell", "n"])
 
     sums = classes.select("signature").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    rows = sums.toPandas()
+    rows = sums.toArrow()
     counts = np.zeros(CELLS, np.int64)
-    counts[rows["cell"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    counts[rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
     return counts
 
 
