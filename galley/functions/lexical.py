@@ -20,6 +20,7 @@ from galley.functions.words import (
     IRREGULAR_NOUNS,
     IRREGULAR_VERBS,
     LY_NON_ADVERBS,
+    OE_PLURALS,
 )
 
 ADJECTIVE = r"(?:able|ible|ful|less|ous|ive|ish|ical|ial)$"
@@ -137,6 +138,7 @@ def _rule_noun_lemma(word: Column) -> Column:
         F.when(word.rlike("[a-z]{2}men$"), F.concat(_cut(word, 2), F.lit("an")))
         .when(~_plural_ending(word), word)
         .when(word.endswith("ies"), F.concat(_cut(word, 3), F.lit("y")))
+        .when(word.endswith("oes") & ~one_of(word, OE_PLURALS), _cut(word, 2))
         .when(word.rlike("(?:ches|shes|sses|xes|zzes|[^aeo]uses)$"), _cut(word, 2))
         .otherwise(_cut(word, 1))
     )

@@ -10,11 +10,12 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Callable, Iterable, Mapping
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from galley.functions.words import ENGLISH_STOP_WORDS, HTML_ENTITIES
+from galley.functions.words import ENGLISH_STOP_WORDS
 
 # Unicode white space, word characters and the 32 ASCII punctuation marks.
 SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -146,8 +147,8 @@ def non_word_split(text: Column) -> Column:
 def _code_point(reference: Column) -> Column:
     """Character of a numeric reference without its ``&#`` and ``;``."""
     is_hex = F.lower(F.substring(reference, 1, 1)) == "x"
-    digits = F.ltrim(F.upper(reference), F.lit("X"))
-    code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+    digits = F.ltrim(F.ltrim(F.upper(reference), F.lit("X")), F.lit("0"))
+    code = F.when(F.length(digits).between(1, 7), F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint"))
     valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
     utf_32 = F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")
     # An ampersand stays escaped until the named entities are replaced.
@@ -155,7 +156,7 @@ def _code_point(reference: Column) -> Column:
 
 
 def _numeric_unescaped(text: Column) -> Column:
-    pattern = F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});")
+    pattern = F.lit("&#([0-9]+|[xX][0-9a-fA-F]+);")
     references = F.array_distinct(F.regexp_extract_all(text, pattern))
 
     def put_in(so_far: Column, reference: Column) -> Column:
@@ -164,11 +165,20 @@ def _numeric_unescaped(text: Column) -> Column:
     return F.when(text.contains("&#"), F.aggregate(references, text, put_in)).otherwise(text)
 
 
+# Every named character reference of the standard, by its name.
+NAMED_CHARACTERS = {name[:-1]: character for name, character in html5.items() if name.endswith(";")}
+
+
 def _named_unescaped(text: Column) -> Column:
-    plain = text
-    for entity, character in HTML_ENTITIES.items():
-        plain = F.replace(plain, F.lit(entity), F.lit(character))
-    return F.when(text.contains("&"), plain).otherwise(text)
+    names = F.array_distinct(F.regexp_extract_all(text, F.lit("&([a-zA-Z][a-zA-Z0-9]*);")))
+    # The ampersand comes last: replacing it first would turn "&amp;lt;" into "<".
+    ordered = F.concat(select_words(names, "lower(w) <> 'amp'"), select_words(names, "lower(w) = 'amp'"))
+
+    def put_in(so_far: Column, name: Column) -> Column:
+        entity = F.concat(F.lit("&"), name, F.lit(";"))
+        return F.replace(so_far, entity, F.coalesce(lookup(name, NAMED_CHARACTERS), entity))
+
+    return F.when(text.contains("&"), F.aggregate(ordered, text, put_in)).otherwise(text)
 
 
 def unescape_html(text: Column) -> Column:
@@ -181,10 +191,34 @@ INVISIBLE = (
 )
 
 
+def _element(html: Column, tag: str) -> Column:
+    """What stands in the first element of a tag, elements of the same tag inside it included."""
+    pattern = rf"(?i)</?{tag}\b[^>]*>"
+    pieces = F.slice(F.split(html, pattern), 2, F.length(html) + 1)
+    parts = F.arrays_zip(F.regexp_extract_all(html, F.lit(pattern), 0).alias("tag"), pieces.alias("piece"))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("over"), F.array().cast("array<string>").alias("inside"))
+
+    def step(state: Column, part: Column) -> Column:
+        deeper = F.when(part["tag"].startswith("</"), -1).otherwise(1)
+        depth = F.when(state["over"], 0).otherwise(F.greatest(state["depth"] + deeper, F.lit(0)))
+        taken = F.when(depth > 0, F.concat(state["inside"], F.array(part["piece"]))).otherwise(state["inside"])
+        over = state["over"] | ((state["depth"] > 0) & (depth == 0))
+        return F.struct(depth.alias("depth"), over.alias("over"), taken.alias("inside"))
+
+    return F.aggregate(parts, start, step, lambda state: F.array_join(state["inside"], " "))
+
+
 def extract_article_text(html: Column) -> Column:
-    """Visible text of the first ``<article>``; empty when there is none."""
-    body = F.regexp_extract(F.regexp_replace(html, INVISIBLE, " "), r"(?is)<article\b[^>]*>(.*?)</article\s*>", 1)
-    visible = unescape_html(F.regexp_replace(body, "<[^>]*>", " "))
+    """Visible text of the first ``<article>``, else of ``<main>``, else of ``<body>``; empty without any."""
+
+    def body(page: Column) -> Column:
+        found = F.lit("")
+        for tag in ("body", "main", "article"):
+            found = F.when(page.rlike(rf"(?i)<{tag}\b"), _element(page, tag)).otherwise(found)
+        return found
+
+    inside = let(F.regexp_replace(html, INVISIBLE, " "), body)
+    visible = unescape_html(F.regexp_replace(inside, "<[^>]*>", " "))
     return F.array_join(split_words(visible), " ")
 
 

@@ -47,6 +47,9 @@ bed beijing bring ceiling ceilings during evening feed hundred indeed king morni
 nothing red ring sacred seed shed sing something speed spring string swing thing weed wicked wing
 """.split()
 
+# Plurals of words in -oe.
+OE_PLURALS = "aloes canoes doe does floes foes hoes horseshoes oboes roes shoes sloes throes tiptoes toes woes".split()
+
 # Irregular English verb forms, "form lemma".
 IRREGULAR_VERBS = dict(pair.split() for pair in """
 agreed agree; ate eat; arisen arise; arose arise; awoke awake; beaten beat; became become;
@@ -68,13 +71,17 @@ spoke speak; spoken speak; sprang spring; stole steal; stolen steal; stood stand
 stuck stick; sung sing; sunk sink; swam swim; swept sweep; swore swear; sworn swear; swung swing;
 taken take; taught teach; thought think; threw throw; thrown throw; told tell; took take;
 tore tear; torn tear; tying tie; understood understand; undertook undertake; went go; wept weep;
-withdrawn withdraw; withdrew withdraw; woke wake; won win; wore wear; worn wear; wove weave;
+withdrawn withdraw; withdrew withdraw; dreamt dream; flung fling; ground grind; knelt kneel; leapt leap; lit light;
+shrunk shrink; slain slay; slew slay; sped speed; spat spit; spilt spill; spun spin; spoilt spoil; stank stink;
+stung sting; swollen swell; trod tread; wrung wring; woke wake; won win; wore wear; worn wear; wove weave;
 written write; wrote write
 """.replace("\n", " ").strip().split(";"))
 
 # Irregular English plurals, "form lemma"; a singular in -s or -men maps to itself.
 IRREGULAR_NOUNS = dict(pair.split() for pair in """
-abdomen abdomen; abuses abuse; aches ache; analyses analysis; atlas atlas; axes axis; bias bias;
+abdomen abdomen; abuses abuse; aches ache; alumni alumnus; analyses analysis; appendices appendix; bacteria bacterium;
+codices codex; helices helix; indices index; matrices matrix; memoranda memorandum; strata stratum; syllabi syllabus;
+vertices vertex; vortices vortex; atlas atlas; axes axis; bias bias;
 calories calorie; calves calf; canvas canvas; cacti cactus; children child; christmas christmas; cookies cookie;
 crises crisis; criteria criterion; diagnoses diagnosis; economics economics; elves elf;
 excuses excuse; feet foot; fungi fungus; gas gas; geese goose; gymnastics gymnastics; halves half; hooves hoof;

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +16,36 @@ from galley import schemas
 CORRUPT = "_corrupt_record"
 
 
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of each layout. Only the first line of each file reaches the driver, as its name does anyway."""
+    # All lines of a file's first split are in one partition, in order.
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = lines.where("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file_path").collect():
+        names = next(csv.reader([row.header.removeprefix("\ufeff")]), [])
+        layouts.setdefault(tuple(name.strip() for name in names), []).append(unquote(row.file_path))
+    return layouts
+
+
 def _read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool) -> DataFrame:
-    """Columns of ``schema`` by their header names, in any order and case, plus the corrupt text."""
+    """Columns of ``schema`` by the names in each file's own header, in any order and case, plus the corrupt text.
+
+    A file whose header lacks a column is an error.
+    """
     # Quotes inside a field are doubled. Fields may hold line breaks, so files are read whole;
     # collections without line breaks can set multi_line=False to have large files split.
     reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
-    fields = [StructField(name, StringType()) for name in [*reader.csv(path).columns, CORRUPT]]
-    rows = (
-        reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(StructType(fields)).csv(path)
-    )
-    return rows.select(*[F.col(name).alias(name) for name in [*schema.fieldNames(), CORRUPT]])
+    reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    names = [*schema.fieldNames(), CORRUPT]
+    parts = []
+    for header, files in _files_by_header(spark, path).items():
+        if lacking := {n.lower() for n in schema.fieldNames()} - {n.lower() for n in header}:
+            raise ValueError(f"no column {sorted(lacking)} in {files[:3]}")
+        fields = StructType([StructField(name, StringType()) for name in [*header, CORRUPT]])
+        parts.append(reader.schema(fields).csv(files).select(*[F.col(name).alias(name) for name in names]))
+    empty = StructType([StructField(name, StringType()) for name in names])
+    return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], empty)
 
 
 def read_articles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
