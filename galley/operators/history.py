@@ -11,16 +11,13 @@ from galley import schemas
 from galley.sources.sinks import append_collection
 
 
-def _urls(history: DataFrame) -> DataFrame:
-    return history.select("url").distinct()
-
-
 def already_predicted(requests: DataFrame, history: DataFrame) -> DataFrame:
-    return requests.join(_urls(history), "url", "left_semi")
+    """Requests for known URLs; the history needs no grouping, so a hot URL can be split."""
+    return requests.join(history.select("url"), "url", "left_semi")
 
 
 def not_yet_predicted(requests: DataFrame, history: DataFrame) -> DataFrame:
-    return requests.join(_urls(history), "url", "left_anti")
+    return requests.join(history.select("url"), "url", "left_anti")
 
 
 def cached_predictions(requests: DataFrame, history: DataFrame) -> DataFrame:
@@ -42,7 +39,8 @@ def one_per_url(predictions: DataFrame) -> DataFrame:
 
 
 def new_history_rows(predictions: DataFrame, history: DataFrame) -> DataFrame:
-    return not_yet_predicted(one_per_url(predictions), history)
+    """Rows to store: one per URL, with a category, unknown so far."""
+    return not_yet_predicted(one_per_url(predictions.where("category IS NOT NULL")), history)
 
 
 def append_history(predictions: DataFrame, history_path: str, fmt: str = "parquet") -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galley.functions import language, lexical, text
@@ -13,6 +13,16 @@ from galley.operators.profile import drop_null_rows
 from galley.session import evaluate_once
 
 
+def cleaned_text(column: Column, compat: bool = False, lexicon: lexical.Lexicon = lexical.ENGLISH) -> Column:
+    """The chain on one text; what cleans to nothing is the empty string."""
+    if compat:
+        # The extra spaces that compat cleaning leaves make no difference to the words behind it.
+        words = text.feature_words(text.remove_stop_words(column))
+    else:
+        words = text.feature_words(text.strip_non_ascii(column))
+    return F.array_join(lexical.lemmatize_kept(words, () if compat else ENGLISH_STOP_WORDS, lexicon), " ")
+
+
 def normalize(
     df: DataFrame,
     text_col: str = "summary",
@@ -35,17 +45,11 @@ def normalize(
     columns, so each task merges its own copies before the one shuffle.
     """
     rows = drop_null_rows(df.select(*keep, F.col(text_col).alias("_text")))
-    if compat:
-        # The extra spaces that compat cleaning leaves make no difference to the words behind it.
-        words = text.feature_words(text.remove_stop_words(F.col("_text")))
-    else:
-        if lang is not None:
-            lists = word_lists or language.built_in_stop_words()
-            rows = evaluate_once(rows, found_lang=language.detect_lang(F.col("_text"), lists, min_score))
-            rows = rows.filter(F.col("found_lang") == lang)
-        words = text.feature_words(text.strip_non_ascii(F.col("_text")))
-    lemmas = lexical.lemmatize_kept(words, () if compat else ENGLISH_STOP_WORDS, lexicon)
-    cleaned = evaluate_once(rows, lemm_summary=F.array_join(lemmas, " "))
+    if lang is not None and not compat:
+        lists = word_lists or language.built_in_stop_words()
+        rows = evaluate_once(rows, found_lang=language.detect_lang(F.col("_text"), lists, min_score))
+        rows = rows.filter(F.col("found_lang") == lang)
+    cleaned = evaluate_once(rows, lemm_summary=cleaned_text(F.col("_text"), compat, lexicon))
     cleaned = cleaned.select(*keep, "lemm_summary").filter(~text.is_blank(F.col("lemm_summary"), compat))
     return cleaned.dropDuplicates([*keep, "lemm_summary"]) if dedup else cleaned
 

@@ -8,11 +8,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.functions.text import extract_article_text, extract_table_text
+from galley.functions import language
+from galley.functions.text import extract_article_text, extract_table_text, is_blank
 from galley.operators import history as hist
 from galley.operators.filters import request_status
 from galley.plans.model import score
-from galley.plans.normalize import normalize
+from galley.plans.normalize import cleaned_text
 from galley.session import evaluate_once
 
 
@@ -25,24 +26,56 @@ def extract_requests(pages: DataFrame) -> DataFrame:
 
 
 def classify_requests(
-    requests: DataFrame, model: PipelineModel, predicted_at: datetime | None = None, **normalize_options
+    requests: DataFrame,
+    model: PipelineModel,
+    predicted_at: datetime | None = None,
+    lang: str | None = None,
+    min_score: float = 0.9,
+    **clean_options,
 ) -> DataFrame:
-    """History rows of the valid requests. A text that cleans to nothing gets no prediction."""
+    """One answer per request: ``(url, category, predicted_at, summary, status)``.
+
+    ``status`` is ``classified``, or why there is no category: ``invalid`` (no address or no text),
+    ``foreign`` (not of language ``lang``, if one is asked for) or ``empty`` (nothing left after
+    cleaning). Nothing is dropped or joined, so it works on streams.
+    """
     stamp = F.current_timestamp() if predicted_at is None else F.lit(predicted_at)
-    valid = requests.filter(F.col("status") == "valid")
-    cleaned = normalize(valid, keep=("url", "summary"), dedup=False, **normalize_options)
-    return score(cleaned, model).select("url", "category", stamp.alias("predicted_at"), "summary")
+    is_valid = F.col("status") == "valid"
+    guess = F.lit(None) if lang is None else language.detect_lang(F.col("summary"), language.built_in_stop_words(), min_score)
+    rows = evaluate_once(
+        requests,
+        lemm_summary=F.when(is_valid, cleaned_text(F.col("summary"), **clean_options)).otherwise(""),
+        _lang=F.when(is_valid, guess).cast("string"),
+    )
+    answer = (
+        F.when(~is_valid, "invalid")
+        .when(F.lit(lang is not None) & ~F.col("_lang").eqNullSafe(lang), "foreign")
+        .when(is_blank(F.col("lemm_summary")), "empty")
+        .otherwise("classified")
+    )
+    scored = score(rows.select("url", "summary", "lemm_summary", answer.alias("status")), model)
+    has_class = F.col("status") == "classified"
+    return scored.select(
+        "url", F.when(has_class, F.col("category")).alias("category"), F.when(has_class, stamp).alias("predicted_at"), "summary", "status"
+    )
+
+
+def pages_to_score(pages: DataFrame, history: DataFrame) -> DataFrame:
+    """One page per URL that the history does not know, the one with the smallest hash of its source.
+
+    Only addresses and hashes are compared with the history and with each other; a page's source is
+    moved once, after that.
+    """
+    hashed = pages.select("url", "html", F.xxhash64("html").alias("_hash"))
+    chosen = hist.not_yet_predicted(hashed.groupBy("url").agg(F.min("_hash").alias("_hash")), history)
+    return hashed.join(chosen, ["url", "_hash"]).dropDuplicates(["url", "_hash"]).select("url", "html")
 
 
 def score_batch(
-    pages: DataFrame, history: DataFrame, model: PipelineModel, predicted_at: datetime | None = None, **normalize_options
+    pages: DataFrame, history: DataFrame, model: PipelineModel, predicted_at: datetime | None = None, **options
 ) -> DataFrame:
-    """Extract, drop invalid and already predicted URLs, classify the rest.
+    """Extract and classify the pages whose URL the history does not know; one row per URL.
 
-    Copies of a URL merge within each task first, and URLs known to the history leave before any
-    page is parsed. Both steps share the one shuffle by URL. The result has one row per URL, ready
-    for ``append_history``.
+    ``append_history`` stores the classified ones.
     """
-    requested = pages.groupBy("url").agg(F.min("html").alias("html"))
-    fresh = hist.not_yet_predicted(requested, history)
-    return classify_requests(extract_requests(fresh), model, predicted_at, **normalize_options)
+    return classify_requests(extract_requests(pages_to_score(pages, history)), model, predicted_at, **options)

@@ -40,16 +40,20 @@ def score_stream(
     checkpoint: str,
     predicted_at: datetime | None = None,
     trigger: dict | None = None,
-    **normalize_options,
+    answers_path: str | None = None,
+    **options,
 ) -> StreamingQuery:
     """Extract, normalize and score pages as they arrive; add the new URLs to the history.
 
     Scoring is stateless. The append compares each micro-batch with the history, which makes a
-    repeated batch harmless.
+    repeated batch harmless. With ``answers_path`` every request's answer is kept there as well, one
+    replaceable folder per micro-batch.
     """
     def add_batch(batch: DataFrame, batch_id: int) -> None:
         hist.append_history(batch, history_path)
+        if answers_path:
+            batch.write.mode("overwrite").parquet(f"{answers_path}/batch={batch_id}")
 
-    predictions = classify_requests(extract_requests(pages), model, predicted_at, **normalize_options)
+    predictions = classify_requests(extract_requests(pages), model, predicted_at, **options)
     writer = predictions.writeStream.foreachBatch(add_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
