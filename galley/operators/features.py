@@ -11,11 +11,8 @@ from pyspark.sql import functions as F
 from galley.functions.text import let
 from galley.session import materialize
 
-# Terms above this share of all (document, term) pairs number at most its inverse, so a table of
-# them stays small enough to broadcast however large the vocabulary grows.
-MAX_HOT_TERMS = 200_000
-# Below this many documents a term is never worth a separate join.
-MIN_HOT_FREQUENCY = 100_000
+# Parts into which the documents of each term are dealt for the join with its frequency.
+TERM_SALTS = 16
 
 
 def index_labels(df: DataFrame, topic: str = "topic", label: str = "label") -> DataFrame:
@@ -78,28 +75,37 @@ def inverse_frequency(n_documents: Column, df: Column, min_doc_freq: int) -> Col
 def tf_idf(df: DataFrame, key: str, tokens: Column, min_doc_freq: int = 3) -> DataFrame:
     """``(key, term, tf, df, tf_idf)`` with exact terms instead of hash buckets; one row per key.
 
-    Terms are counted within their row. The pairs are read three times, so they are written once. A
+    Terms are counted within their row. The pairs are read twice, so they are written once. A
     frequent term occurs in a large part of them, and a plain join would send that part to one
-    task. Terms above a frequency threshold are few by construction and are broadcast; the groups of
-    the remaining terms are bounded by the threshold and joined by a shuffle.
+    task, so the pairs of every term are dealt to ``TERM_SALTS`` groups by a hash of the key and the
+    frequencies are repeated for each.
     """
     n_documents = df.agg(F.count("*")).scalar()
     counts = materialize(df.select(key, F.inline(row_term_counts(tokens))), "term_counts")
-    frequencies = document_frequencies(counts)
-    threshold = F.greatest(F.lit(MIN_HOT_FREQUENCY), counts.agg(F.count("*") / MAX_HOT_TERMS).scalar())
-    is_hot = F.col("df") > threshold
-    hot = F.broadcast(frequencies.filter(is_hot))
-    joined = counts.join(hot, "term").unionByName(
-        counts.join(hot, "term", "left_anti").join(frequencies.filter(~is_hot), "term")
-    )
+    salts = F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1)))
+    frequencies = document_frequencies(counts).withColumn("_salt", salts)
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(TERM_SALTS)).cast("int"))
+    joined = salted.join(frequencies, ["term", "_salt"])
     idf = inverse_frequency(n_documents, F.col("df"), min_doc_freq)
     return joined.select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tf_idf"))
 
 
+def vocabulary_size(df: DataFrame, tokens: str) -> int:
+    """Number of distinct terms, so that a vocabulary of this size drops none."""
+    return max(1, df.select(F.explode(tokens).alias("term")).agg(F.count_distinct("term")).first()[0])
+
+
+def count_vectorizer(df: DataFrame, tokens: str, output: str, min_df: float = 1.0) -> CountVectorizerModel:
+    """Exact term counts. The vocabulary holds every term; it is part of the model and so reaches the
+    driver, where hash buckets (``hashed_counts``) stay bounded."""
+    size = vocabulary_size(df, tokens)
+    return CountVectorizer(inputCol=tokens, outputCol=output, vocabSize=size, minDF=min_df).fit(df)
+
+
 def count_vectors(
-    df: DataFrame, tokens: str, output: str = "features", vocab_size: int = 1 << 18, min_df: float = 1.0
+    df: DataFrame, tokens: str, output: str = "features", min_df: float = 1.0
 ) -> tuple[CountVectorizerModel, DataFrame]:
-    model = CountVectorizer(inputCol=tokens, outputCol=output, vocabSize=vocab_size, minDF=min_df).fit(df)
+    model = count_vectorizer(df, tokens, output, min_df)
     return model, model.transform(df)
 
 

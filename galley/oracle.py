@@ -21,6 +21,7 @@ from galley.functions.words import (
     IRREGULAR_NOUNS,
     IRREGULAR_VERBS,
     LY_NON_ADVERBS,
+    OE_PLURALS,
 )
 
 STAMP = "'%Y-%m-%d %H:%M:%S'"
@@ -167,6 +168,7 @@ def noun_lemma(w: str) -> str:
       WHEN regexp_matches({w}, '[a-z][a-z]men$') THEN {cut(w, 2)} || 'an'
       WHEN NOT {plural(w)} THEN {w}
       WHEN ends_with({w}, 'ies') THEN {cut(w, 3)} || 'y'
+      WHEN ends_with({w}, 'oes') AND NOT {has(OE_PLURALS, w)} THEN {cut(w, 2)}
       WHEN regexp_matches({w}, '(ches|shes|sses|xes|zzes|[^aeo]uses)$') THEN {cut(w, 2)}
       ELSE {cut(w, 1)} END"""
 
@@ -300,9 +302,15 @@ def naive_bayes(rows: str, targets: str) -> str:
 
 TEST_ROWS = "SELECT {'topic': topic, 'lemm': lemm} AS id, lemm FROM rows WHERE NOT is_train"
 TEST_GUESSES = "guesses AS (SELECT id.topic AS label, category AS prediction FROM scored)"
+REQUESTED = """requested AS (
+    SELECT url, html FROM pages UNION ALL SELECT url || '&none', '<html></html>' FROM pages
+    UNION ALL SELECT url || '&empty', '<article>it is 5</article>' FROM pages)"""
 UNSEEN = f"""SELECT * FROM (
     SELECT url AS id, {normalized(article_text('html'))} AS lemm
-    FROM pages WHERE url NOT IN (SELECT url FROM seen)) WHERE lemm <> ''"""
+    FROM requested WHERE url NOT IN (SELECT url FROM seen)) WHERE lemm <> ''"""
+ANSWERS = f"""answers AS (
+    SELECT url, CASE WHEN {article_text('html')} = '' THEN 'invalid' WHEN {normalized(article_text('html'))} = '' THEN 'empty'
+    ELSE 'classified' END AS status FROM requested)"""
 
 
 def customer_profile() -> str:
@@ -353,6 +361,7 @@ def oracle_sql() -> dict[str, str]:
         "read_history": f"WITH {SEEN} {seen_rows}",
         "flatten_api_articles": f"WITH {ARTICLES} SELECT {DIGESTED} FROM articles UNION ALL SELECT {DIGESTED} FROM articles",
         "read_rss": f"""WITH {ARTICLES} SELECT published_date, 'news' AS topic, source AS link,
+            trim(regexp_replace(title, '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')) AS title,
             md5(trim(regexp_replace(summary, '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g'))) AS summary FROM articles""",
         "stop_word_hits": f"""WITH {stop_word_table()},
             tokens AS (SELECT lang, unnest(string_split_regex(lower(text), '[^\\p{{L}}'']+')) AS word FROM documents)
@@ -405,7 +414,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT round(f, 6) AS f1, round(1 - f, 6) AS test_error, round(a, 6) AS accuracy
             FROM (SELECT sum(f1 * support) / sum(support) AS f, sum(hits) / sum(support) AS a FROM report)""",
         "profile_exact": customer_profile(),
-        "profile_top_values": " UNION ALL ".join(top_of(c) for c in ("lang", "source", "n_chars")),
+        "profile_top_values": " UNION ALL ".join(top_of(c) for c in ("doc_id", "text", "lang", "source", "n_chars")),
         "page_sizes": "SELECT 2::BIGINT AS page_size, 2::BIGINT AS n_articles, count(*) AS responses FROM documents",
         "newest_first": f"WITH {SEEN} SELECT url, category, predicted_at FROM seen ORDER BY predicted_at DESC, url",
         "newest_preview": f"WITH {SEEN} SELECT url, category, predicted_at FROM seen ORDER BY predicted_at DESC, url LIMIT 5",
@@ -439,7 +448,10 @@ def oracle_sql() -> dict[str, str]:
             cut AS (SELECT doc_id, parts[1:coalesce(list_max([i for i in range(1, len(parts) + 1) if parts[i] <> '']), 0)] AS words
               FROM split)
             SELECT doc_id, len(words) AS n, md5(array_to_string(words, '|')) AS words FROM cut""",
-        "extract_article_text": f"SELECT page_id, md5({article_text('html')}) AS text FROM pages",
+        "extract_article_text": f"""WITH plain AS (SELECT page_id, {article_text('html')} AS text FROM pages)
+            SELECT page_id, 'plain' AS form, md5(text) AS text FROM plain UNION ALL
+            SELECT page_id, 'main', md5(text) FROM plain UNION ALL
+            SELECT page_id, 'nested', md5(text || ' inner é'' tail') FROM plain""",
         "cleaned_articles": f"""WITH cleaned AS (
               SELECT DISTINCT lang, array_to_string({drop_words(feature_words('text'), ENGLISH_STOP_WORDS)}, ' ') AS clean_text
               FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL)
@@ -456,7 +468,7 @@ def oracle_sql() -> dict[str, str]:
               FROM documents JOIN guesses USING (doc_id) WHERE prediction = 'en')
             SELECT md5(lemm_summary) AS lemm_summary FROM cleaned WHERE lemm_summary <> ''""",
         # Records and dates
-        "to_record": """SELECT event_id, json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type)::VARCHAR AS value
+        "to_record": """SELECT event_id, json_object('event_id', event_id, 'ts', strftime(ts, '%Y-%m-%d %H:%M:%S'), 'user_id', user_id, 'event_type', event_type, 'value', value, 'props', props)::VARCHAR AS value
             FROM events""",
         "decode_records": """SELECT lang AS topic, 1 AS is_valid, count(*) AS n, sum(length(text))::BIGINT AS n_chars
             FROM documents GROUP BY lang
@@ -497,19 +509,21 @@ def oracle_sql() -> dict[str, str]:
         "train_report": f"WITH {naive_bayes(TRAIN_TEST, TEST_ROWS)}, {TEST_GUESSES}, {REPORT} {REPORT_ROWS}",
         "score_articles": f"""WITH {naive_bayes(TRAIN_TEST, f"SELECT * FROM (SELECT doc_id AS id, {normalized('text')} AS lemm FROM documents) WHERE lemm <> ''")}
             SELECT id AS doc_id, category, round(confidence, 4) AS confidence FROM scored""",
-        "score_batch": f"""WITH {SEEN}, {naive_bayes(TRAIN_TEST, UNSEEN)}
-            SELECT id AS url, category, '2024-02-01 00:00:00' AS predicted_at FROM scored""",
-        "score_stream": f"""WITH {SEEN}, {naive_bayes(TRAIN_TEST, UNSEEN)}
-            SELECT id AS url, category, '2024-02-01 00:00:00' AS predicted_at FROM scored
-            UNION ALL SELECT url, category, predicted_at FROM seen""",
+        "score_batch": f"""WITH {SEEN}, {REQUESTED}, {naive_bayes(TRAIN_TEST, UNSEEN)}, {ANSWERS}
+            SELECT url, category, CASE WHEN status = 'classified' THEN '2024-02-01 00:00:00' END AS predicted_at, status
+            FROM answers LEFT JOIN scored ON id = url WHERE url NOT IN (SELECT url FROM seen)""",
+        "score_stream": f"""WITH {SEEN}, {REQUESTED}, {naive_bayes(TRAIN_TEST, UNSEEN)}, {ANSWERS}
+            SELECT id AS url, category, '2024-02-01 00:00:00' AS predicted_at, 'stored' AS status FROM scored
+            UNION ALL SELECT url, category, predicted_at, 'stored' FROM seen
+            UNION ALL SELECT url, NULL, NULL, status FROM answers WHERE status <> 'classified'""",
         "retrain": f"""WITH {SEEN}, base AS (SELECT DISTINCT lang AS topic, {normalized('text')} AS lemm FROM documents),
             rows AS (
               SELECT DISTINCT topic, lemm, TRUE AS is_train
               FROM (SELECT * FROM base UNION ALL SELECT category, {normalized('summary')} FROM seen) WHERE lemm <> ''),
             {naive_bayes("", "SELECT {'topic': topic, 'lemm': lemm} AS id, lemm FROM base WHERE lemm <> ''")}
             SELECT id.topic AS topic, category, count(*) AS n FROM scored GROUP BY ALL""",
-        "request_texts": f"""SELECT url, md5({article_text('html')}) AS summary,
-            CASE WHEN url <> '' AND {article_text('html')} <> '' THEN 'valid' ELSE 'invalid' END AS status FROM pages""",
+        "request_texts": f"""WITH {REQUESTED} SELECT url, md5({article_text('html')}) AS summary,
+            CASE WHEN url <> '' AND {article_text('html')} <> '' THEN 'valid' ELSE 'invalid' END AS status FROM requested""",
         # Streams
         "ingest_stream": """SELECT lang AS topic, count(*) AS stored, count(*) FILTER (lang IN ('en', 'fr')) AS published
             FROM documents GROUP BY lang""",

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover, StringIndexer
+from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,12 +40,9 @@ def title_words(articles: DataFrame) -> DataFrame:
     return StopWordsRemover(inputCol="words", outputCol="filtered").transform(tokens)
 
 
-def bag_of_words(articles: DataFrame, vocab_size: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
+def bag_of_words(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Training and test frames with ``categoryIndex`` and count vectors of the title words."""
     words = title_words(articles)
-    model = Pipeline(stages=[
-        StringIndexer(inputCol="topic", outputCol="categoryIndex"),
-        CountVectorizer(inputCol="filtered", outputCol="features", vocabSize=vocab_size),
-    ]).fit(words)
-    key = F.concat_ws("\x1f", "topic", "title", "summary")
-    return features.split(model.transform(words), key)
+    indexed = features.index_labels(words, label="categoryIndex")
+    _, vectors = features.count_vectors(indexed, "filtered")
+    return features.split(vectors, F.concat_ws("\x1f", "topic", "title", "summary"))

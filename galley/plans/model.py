@@ -9,8 +9,9 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, IndexToString, StringIndexer, Tokenizer
+from pyspark.ml.feature import IDF, HashingTF, IndexToString, StringIndexer, Tokenizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -31,11 +32,11 @@ def classifier(name: str = "naive_bayes", **params) -> Estimator:
 
 
 def feature_stages(vectorizer: str = "hashing", num_features: int = 1 << 18, min_doc_freq: int = 3) -> list:
-    """Tokenizer, term counts and IDF; ``count`` uses exact terms instead of hash buckets."""
+    """Tokenizer, term counts and IDF; ``count`` uses all exact terms instead of hash buckets."""
     if vectorizer == "hashing":
         counts = HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features)
     elif vectorizer == "count":
-        counts = CountVectorizer(inputCol="words", outputCol="rawFeatures", vocabSize=num_features)
+        counts = _AllTerms(inputCol="words", outputCol="rawFeatures")
     else:
         raise ValueError(f"unknown vectorizer {vectorizer!r}")
     return [
@@ -45,11 +46,22 @@ def feature_stages(vectorizer: str = "hashing", num_features: int = 1 << 18, min
     ]
 
 
-# Dense sums of this many tasks are merged by one reducer.
-TASKS_PER_PART = 256
+class _AllTerms(Estimator, HasInputCol, HasOutputCol):
+    """Count vectors over every term of the data."""
 
+    def __init__(self, inputCol: str, outputCol: str):
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol)
 
-def class_sums(featured: DataFrame, parts: int) -> DataFrame:
+    def _fit(self, dataset: DataFrame):
+        return features.count_vectorizer(dataset, self.getInputCol(), self.getOutputCol())
+
+
+# Reducers per class that merge the dense sums of all tasks.
+SUM_PARTS = 16
+
+
+def class_sums(featured: DataFrame, parts: int = SUM_PARTS) -> DataFrame:
     """Mean feature vectors and row counts per class, in ``parts`` parts.
 
     Multinomial naive Bayes depends on the weighted sums per class alone, so fitting on these rows
@@ -64,9 +76,8 @@ def class_sums(featured: DataFrame, parts: int) -> DataFrame:
 
 def _fit_classifier(estimator: Estimator, featured: DataFrame):
     additive = isinstance(estimator, NaiveBayes) and estimator.getModelType() == "multinomial"
-    parts = featured.rdd.getNumPartitions() // TASKS_PER_PART
-    if additive and parts > 1 and not estimator.isSet("weightCol"):
-        return estimator.copy().setWeightCol("weight").fit(class_sums(featured, parts))
+    if additive and not estimator.isSet("weightCol"):
+        return estimator.copy().setWeightCol("weight").fit(class_sums(featured))
     return estimator.fit(featured)
 
 

@@ -18,7 +18,7 @@ from galley.functions import language, lexical, records, text
 from galley.functions.words import BUILT_IN_LANGUAGES, ENGLISH_STOP_WORDS
 from galley.operators import features, filters, history, metrics, profile
 from galley.plans import explore, model, normalize, scoring
-from galley.session import evaluate_once, materialize, scratch_path, spread
+from galley.session import evaluate_once, materialize, scratch_path
 from galley.sources import articles as src
 from galley.sources import sinks
 from galley.sources.word_lists import word_lists
@@ -43,8 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Documents for text work, over all cores."""
-    return spread(table(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text", "lang"))))
+    return table(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text", "lang")))
 
 
 def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +81,14 @@ def seen_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def requested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages, as many without any text, and as many whose text cleans to nothing."""
+    pages = table(spark, sf_dir, "pages")
+    none = pages.select(F.concat("url", F.lit("&none")).alias("url"), F.lit("<html></html>").alias("html"))
+    empty = pages.select(F.concat("url", F.lit("&empty")).alias("url"), F.lit("<article>it is 5</article>").alias("html"))
+    return pages.select("url", "html").union(none).union(empty)
+
+
 def requested_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page asked for twice."""
     return table(spark, sf_dir, "pages").select("page_id", "url", F.explode(F.array(F.lit(1), F.lit(2))).alias("attempt"))
@@ -130,10 +137,11 @@ def broker_records(spark: SparkSession, sf_dir: str) -> str:
 @query
 def read_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "articles")
-    rows = articles(spark, sf_dir).select("topic", "title", "summary")
-    rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False
-    ).csv(path)
+    rows = articles(spark, sf_dir)
+    for part, columns in (("topic = 'en'", ["topic", "title", "summary"]), ("topic <> 'en'", ["Summary", "Topic", "Title"])):
+        rows.where(part).select(*columns).write.mode("append").options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(path)
     return digested(src.read_articles(spark, path).select("topic", "title", "summary"))
 
 
@@ -173,8 +181,10 @@ def read_rss(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_articles(spark, sf_dir).select(
         "title", F.col("summary").alias("description"), "link", F.col("published_date").alias("pubDate")
     ).write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
-    squeezed = F.trim(F.regexp_replace("summary", r"\s+", " "))
-    return src.read_rss(spark, path).select("published_date", "topic", "link", F.md5(squeezed).alias("summary"))
+    squeezed = {c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " ")) for c in ("title", "summary")}
+    return src.read_rss(spark, path).select(
+        "published_date", "topic", "link", squeezed["title"].alias("title"), F.md5(squeezed["summary"]).alias("summary")
+    )
 
 
 @query
@@ -405,12 +415,12 @@ def profile_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.profile(table(spark, sf_dir, "documents").drop("text"))
+    return profile.profile(table(spark, sf_dir, "documents"))
 
 
 @query
 def profile_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.profile_top_values(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"])
+    return profile.profile_top_values(table(spark, sf_dir, "documents"), ["doc_id", "text", "lang", "source", "n_chars"])
 
 
 @query
@@ -461,7 +471,7 @@ def detect_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each cleaning step alone, on page sources behind their address."""
     raw = F.concat(F.lit("See "), "url", F.lit(" by @"), F.regexp_replace("url", "^https?://", ""), F.lit(" "), "html")
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", raw.alias("raw")))
+    pages = table(spark, sf_dir, "pages").select("page_id", raw.alias("raw"))
     column = F.col("raw")
     return pages.select(
         "page_id",
@@ -535,8 +545,13 @@ def white_space_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def extract_article_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
-    return pages.select("page_id", F.md5(text.extract_article_text(F.col("html"))).alias("text"))
+    """Pages as they are, with an article inside the article, and with ``<main>`` instead."""
+    inner = "<article> inner &eacute;&#0000000039; </article> tail</article>"
+    nested = F.replace("html", F.lit("</article>"), F.lit(inner))
+    main = F.replace(F.replace("html", F.lit("<article"), F.lit("<main")), F.lit("</article>"), F.lit("</main>"))
+    forms = F.explode(F.create_map(F.lit("plain"), "html", F.lit("nested"), nested, F.lit("main"), main)).alias("form", "html")
+    pages = table(spark, sf_dir, "pages").select("page_id", forms)
+    return pages.select("page_id", "form", F.md5(text.extract_article_text(F.col("html"))).alias("text"))
 
 
 @query
@@ -569,7 +584,7 @@ def normalize_for_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def to_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    rows = table(spark, sf_dir, "events").withColumn("ts", stamp("ts"))
     return rows.select("event_id", records.to_record(rows).alias("value"))
 
 
@@ -625,12 +640,12 @@ def vocabulary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def count_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Total of each vocabulary entry over the vectors; the vocabulary has at most 2^18 terms."""
+    """Total of each vocabulary entry over the vectors."""
     tokens = materialize(feature_tokens(spark, sf_dir), "tokens")
     vectorizer, rows = features.count_vectors(tokens, "words")
     totals = features.vector_entries(rows, "features").groupBy("index").agg(F.sum("value").cast("bigint").alias("tf"))
     terms = spark.createDataFrame(list(enumerate(vectorizer.vocabulary)), "index int, term string")
-    return totals.join(F.broadcast(terms), "index").select("term", "tf")
+    return totals.join(terms, "index").select("term", "tf")
 
 
 @query
@@ -702,13 +717,13 @@ def train_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forest = model.classifier("random_forest", numTrees=10, maxDepth=4, seed=11)
-    return model.train(topic_articles(spark, sf_dir), estimator=forest, num_features=1000).scores
+    forest = model.classifier("random_forest", seed=11)
+    return model.train(topic_articles(spark, sf_dir), estimator=forest).scores
 
 
 @query
 def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted = model.cross_validate(topic_articles(spark, sf_dir), folds=2)
+    fitted = model.cross_validate(topic_articles(spark, sf_dir))
     grid = [(params[p], float(f1)) for params, f1 in zip(fitted.getEstimatorParamMaps(), fitted.avgMetrics) for p in params]
     return spark.createDataFrame(grid, "num_features int, f1 double")
 
@@ -739,16 +754,14 @@ def retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def request_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(table(spark, sf_dir, "pages").select("url", "html"))
-    return scoring.extract_requests(pages).select("url", F.md5("summary").alias("summary"), "status")
+    return scoring.extract_requests(requested_pages(spark, sf_dir)).select("url", F.md5("summary").alias("summary"), "status")
 
 
 @query
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = model.load_model(saved_model(spark, sf_dir))
-    pages = table(spark, sf_dir, "pages").select("url", "html")
-    rows = scoring.score_batch(pages, seen_pages(spark, sf_dir), loaded, PREDICTED_AT, lang=None)
-    return rows.select("url", "category", stamp("predicted_at"))
+    rows = scoring.score_batch(requested_pages(spark, sf_dir), seen_pages(spark, sf_dir), loaded, PREDICTED_AT)
+    return rows.select("url", "category", stamp("predicted_at"), "status")
 
 
 # Streams
@@ -815,13 +828,16 @@ def land_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages scored as a stream of files; URLs already in the history are left alone."""
+    """Pages scored as a stream of files: the history afterwards, and the answers without a class."""
     base = scratch_path(spark, "scoring")
     loaded = model.load_model(saved_model(spark, sf_dir))
     seen_pages(spark, sf_dir).write.parquet(f"{base}/history")
-    table(spark, sf_dir, "pages").select("url", "html").write.parquet(f"{base}/pages")
+    requested_pages(spark, sf_dir).write.parquet(f"{base}/pages")
     stream = spark.readStream.schema("url string, html string").parquet(f"{base}/pages")
-    run_to_end(landing.score_stream(stream, loaded, f"{base}/history", f"{base}/checkpoint", PREDICTED_AT, lang=None))
-    return src.read_history(spark, f"{base}/history").select("url", "category", stamp("predicted_at"))
+    answers = f"{base}/answers"
+    run_to_end(landing.score_stream(stream, loaded, f"{base}/history", f"{base}/checkpoint", PREDICTED_AT, answers_path=answers))
+    stored = src.read_history(spark, f"{base}/history").withColumn("status", F.lit("stored"))
+    others = spark.read.parquet(answers).where("status <> 'classified'").select(*stored.columns)
+    return stored.union(others).select("url", "category", stamp("predicted_at"), "status")
 
 

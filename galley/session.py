@@ -37,18 +37,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the session has cores.
-
-    Text work is CPU bound, and a small file of one row group is a single task. A large table has
-    more splits than cores and passes through without a shuffle.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add costly columns that later filters must not compute again.
 

@@ -30,6 +30,24 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     assert rows(articles.read_articles(spark, str(path))) == [("World", "t", "s", None)]
 
 
+def test_csv_columns_of_each_file(spark, tmp_path):
+    """Every file has a header of its own; a file without a column is an error."""
+    (tmp_path / "a b.csv").write_text("Topic,Title,Summary\nSports,t1,s1\n")
+    (tmp_path / "b.csv").write_text('Summary,"Topic",Title\ns2,World,t2\n"s, 3",World,t3\n')
+    found = rows(articles.read_articles(spark, str(tmp_path)))
+    assert found == [("Sports", "t1", "s1", None), ("World", "t2", "s2", None), ("World", "t3", "s, 3", None)]
+    (tmp_path / "c.csv").write_text("Topic,Text\nWorld,t\n")
+    with pytest.raises(ValueError, match="summary.*title"):
+        articles.read_articles(spark, str(tmp_path))
+
+
+def test_vocabulary_is_not_cut(spark):
+    terms = spark.range(300_000).select(F.array(F.concat(F.lit("t"), "id")).alias("words"))
+    vectorizer, vectors = features.count_vectors(terms, "words")
+    assert len(vectorizer.vocabulary) == 300_000
+    assert features.vector_entries(vectors, "features").count() == 300_000
+
+
 def test_csv_keeps_corrupt_rows(spark, tmp_path):
     path = tmp_path / "summaries.csv"
     path.write_text("summary\nfine\na,b,c\n")
@@ -156,10 +174,10 @@ def test_split_is_stable(spark):
     assert 350 < train.count() < 450
 
 
-@pytest.mark.parametrize("hot_frequency", [1, 10, 1_000_000])
-def test_tf_idf_with_hot_terms(spark, monkeypatch, hot_frequency):
-    """The result does not depend on which terms are joined by broadcast."""
-    monkeypatch.setattr(features, "MIN_HOT_FREQUENCY", hot_frequency)
+@pytest.mark.parametrize("salts", [1, 3, 16])
+def test_tf_idf_with_hot_terms(spark, monkeypatch, salts):
+    """The result does not depend on the number of groups of a term."""
+    monkeypatch.setattr(features, "TERM_SALTS", salts)
     documents = [(i, ["the", "the", f"w{i % 7}", *(["rare"] if i < 2 else [])]) for i in range(60)]
     frame = spark.createDataFrame(documents, "id int, tokens array<string>")
     found = {(r["id"], r["term"]): r["tf_idf"] for r in features.tf_idf(frame, "id", F.col("tokens")).collect()}

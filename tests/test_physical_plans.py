@@ -9,7 +9,6 @@ from galley.functions.text import feature_words
 from galley.operators import features, filters, history, profile
 from galley.plans import scoring
 from galley.plans.normalize import normalize
-from galley.session import spread
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -58,16 +57,26 @@ def test_vocabulary_shuffles_partial_counts(documents):
     assert "partial_sum" in physical(plan)
 
 
-def test_known_urls_leave_before_the_shuffle(spark):
+def test_known_urls_leave_before_their_pages_move(spark):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     known = pages.select("url").limit(3)
-    fresh = history.not_yet_predicted(pages.groupBy("url").agg(F.min("html").alias("html")), known)
-    plan = physical(scoring.extract_requests(fresh))
-    assert plan.count("partial_min") == 1
-    assert plan.index("SortAggregate") < plan.index("LeftAnti") < plan.index("html#", plan.index("FileScan"))
-
-
-def test_spread_leaves_wide_scans_alone(spark, documents):
-    assert spread(documents).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 40)
-    assert "Exchange" not in physical(spread(wide))
+    chosen = scoring.pages_to_score(pages, known)
+    plan = physical(chosen)
+    assert "partial_min(_hash" in plan and "LeftAnti" in plan
+    assert "min(html" not in plan and "SortAggregate" not in plan[plan.index("LeftAnti") :]
+    assert chosen.count() == pages.select("url").distinct().count() - 3
+
+
+def test_hot_urls_can_be_split(spark):
+    """The lookup of raw requests joins sorted shuffle outputs directly, which adaptive execution can split."""
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").select("url", "page_id")
+    for join in (history.already_predicted, history.not_yet_predicted):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = physical(join(pages, pages.select("url").limit(3).union(pages.select("url"))))
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert "SortMergeJoin" in plan and "HashAggregate" not in plan
+
+
+def test_terms_are_joined_by_one_salted_path(documents):
+    plan = physical(features.tf_idf(documents, "doc_id", feature_words(F.col("text"))))
+    assert plan.count("Join") == 1 and "_salt" in plan

@@ -72,9 +72,8 @@ def test_saved_model_scores_the_same(trained, labelled):
     assert without_topic.count() == rows.count()
 
 
-def test_class_sums_give_the_same_model(labelled, monkeypatch):
-    """Fitting on the sums per class, as done for many tasks, equals fitting on the rows."""
-    monkeypatch.setattr(model, "TASKS_PER_PART", 1)
+def test_class_sums_give_the_same_model(labelled):
+    """Fitting on the sums per class equals fitting on the rows."""
     rows = normalize(labelled, lang=None).repartition(5)
     fitted = model._fit(rows, rows, None, num_features=256)
     featured = PipelineModel(fitted.stages[:-2]).transform(rows)
@@ -143,7 +142,26 @@ def test_stream_scoring_equals_batch(spark, trained, pages, tmp_path):
     empty = spark.createDataFrame([], schemas.HISTORY)
     batch = scoring.score_batch(pages, empty, fitted.model, at, lang=None)
     key = lambda f: sorted(map(tuple, f.select("url", "category", "predicted_at").collect()))
-    assert key(articles.read_history(spark, path)) == key(batch)
+    assert key(articles.read_history(spark, path)) == key(batch.where("status = 'classified'"))
+
+
+def test_every_request_is_answered(spark, trained):
+    """Short texts are classified as well; what gets no class gets a reason."""
+    fitted, _ = trained
+    requests = [
+        ("https://a", page("Goal by coach wins league match")), ("https://a", page("Goal by coach wins league match")),
+        ("https://b", page("quasar enzyme")), ("https://c", "<html></html>"), ("https://d", page("it is 5")),
+        ("", page("goal")), ("https://e", None),
+    ]
+    pages = spark.createDataFrame(requests, "url string, html string")
+    empty = spark.createDataFrame([], schemas.HISTORY)
+    found = {r.url: (r.status, r.category) for r in scoring.score_batch(pages, empty, fitted.model).collect()}
+    assert found == {
+        "https://a": ("classified", "Sports"), "https://b": ("classified", "Science"), "https://c": ("invalid", None),
+        "https://d": ("empty", None), "": ("invalid", None), "https://e": ("invalid", None),
+    }
+    foreign = scoring.score_batch(pages, empty, fitted.model, lang="fr").where("url = 'https://b'").first()
+    assert (foreign.status, foreign.category) == ("foreign", None)
 
 
 def responses(spark, path, numbers, date="2024-01-01 00:00:%02d"):

@@ -83,7 +83,23 @@ def test_article_text(spark):
 
 def test_entities_are_unescaped_once(spark):
     values = ["&#38;lt; &amp;lt; &amp;#39; &lt;", "&hellip;&nbsp;&#x1F600;&#55555555; &x;"]
-    assert apply(spark, values, text.unescape_html) == ["&lt; &lt; &#39; <", "…\u00a0\U0001F600&#55555555; &x;"]
+    assert apply(spark, values, text.unescape_html) == ["&lt; &lt; &#39; <", "…\u00a0\U0001F600\ufffd &x;"]
+    values = ["caf&eacute; a&times;b &NotEqualTilde;", "&#0000000039;&#x00000041;&#x110000; &AMP;amp; &noname; & &;"]
+    assert apply(spark, values, text.unescape_html) == ["café a×b ≂̸", "'A\ufffd &amp; &noname; & &;"]
+
+
+def test_article_text_of_other_pages(spark):
+    pages = [
+        "<article>outer one <article>inner</article> outer two</article><article>second</article>",
+        "<body>menu <main><p>main</p> text</main></body>",
+        "<html><head><title>t</title></head><body class=x>only <b>body</b></body></html>",
+        "<article>never closed <p>text",
+        "</article><article>a</article>",
+        "<articles>x</articles>",
+        "",
+    ]
+    expected = ["outer one inner outer two", "main text", "only body", "never closed text", "a", "", ""]
+    assert apply(spark, pages, text.extract_article_text) == expected
 
 
 def test_long_article(spark):
@@ -116,6 +132,22 @@ LEMMAS = {
     "studied": "study", "went": "go", "houses": "house", "boxes": "box", "classes": "class", "virus": "virus",
     "perhaps": "perhaps", "morning": "morning", "series": "series", "agreed": "agree", "shared": "share",
     "offered": "offer", "created": "create", "treated": "treat", "changing": "change", "selling": "sell",
+    "heroes": "hero", "potatoes": "potato", "tomatoes": "tomato", "echoes": "echo", "vetoes": "veto", "shoes": "shoe",
+    "toes": "toe", "canoes": "canoe", "matrices": "matrix", "indices": "index", "vertices": "vertex", "prices": "price",
+    "services": "service", "offices": "office", "appendices": "appendix", "alumni": "alumnus", "bacteria": "bacterium",
+    "spun": "spin", "knelt": "kneel", "slain": "slay", "shrunk": "shrink", "leapt": "leap", "flung": "fling",
+    "dreamt": "dream", "stung": "sting", "stank": "stink", "swollen": "swell", "spat": "spit", "mice": "mouse",
+    "feet": "foot", "geese": "goose", "teeth": "tooth", "wolves": "wolf", "knives": "knife", "lives": "life",
+    "wives": "wife", "shelves": "shelf", "leaves": "leave", "cities": "city", "stories": "story", "movies": "movie",
+    "analyses": "analysis", "crises": "crisis", "criteria": "criterion", "phenomena": "phenomenon", "cacti": "cactus",
+    "buses": "bus", "wishes": "wish", "churches": "church", "glasses": "glass", "status": "status", "news": "news",
+    "policemen": "policeman", "written": "write", "wrote": "write", "taken": "take", "took": "take", "began": "begin",
+    "begun": "begin", "bought": "buy", "caught": "catch", "chosen": "choose", "driven": "drive", "eaten": "eat",
+    "fallen": "fall", "flew": "fly", "forgotten": "forget", "frozen": "freeze", "given": "give", "grown": "grow",
+    "hidden": "hide", "known": "know", "led": "lead", "meant": "mean", "paid": "pay", "ran": "run", "said": "say",
+    "sold": "sell", "spoken": "speak", "stolen": "steal", "taught": "teach", "thought": "think", "thrown": "throw",
+    "worn": "wear", "running": "run", "planned": "plan", "hoping": "hope", "hopped": "hop", "trying": "try",
+    "tried": "try", "dying": "die", "lying": "lie", "freed": "free", "king": "king", "during": "during",
 }
 
 
