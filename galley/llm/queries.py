@@ -92,12 +92,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-_WORDS = (
-    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
-    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
-)
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_PLAIN_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": """
+      WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+      windows AS (SELECT doc_id, p, h[2 * p + 1 : 2 * p + 100] AS g FROM t, unnest(range(0, length(h) // 2 - 49)) u(p)),
+      lowest AS (SELECT g, min(doc_id) AS lo FROM windows GROUP BY g),
+      hits AS (SELECT doc_id, p FROM windows JOIN lowest USING (g) WHERE lo < doc_id),
+      steps AS (SELECT doc_id, p, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 50, TRUE)::INTEGER AS new FROM hits),
+      runs AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM steps),
+      spans AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM runs GROUP BY doc_id, run),
+      gaps AS (
+        SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+        UNION ALL SELECT doc_id, coalesce(max(b), 0), any_value(length(h)) // 2 FROM t LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+      kept AS (SELECT doc_id, string_agg(h[2 * a + 1 : 2 * b], '' ORDER BY a) AS h FROM gaps JOIN t USING (doc_id) GROUP BY doc_id),
+      counted AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+      SELECT t.doc_id, length(t.h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+        sha256(unhex(kept.h)) AS kept_sha256
+      FROM t JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)""",
+    "op4_minhash": f"""
+      WITH RECURSIVE d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
+      elements AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+          ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' ')) END) AS g FROM d WHERE len(w) > 0),
+      sizes AS (SELECT doc_id, count(*) AS n FROM elements GROUP BY doc_id),
+      common AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM elements x JOIN elements y USING (g)
+        WHERE x.doc_id < y.doc_id GROUP BY ALL),
+      links AS (
+        SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+      edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+      reached AS (
+        SELECT doc_id AS node, doc_id AS root FROM documents
+        UNION SELECT edges.b, root FROM reached JOIN edges ON edges.a = reached.node),
+      components AS (SELECT node AS doc_id, min(root) AS component_id FROM reached GROUP BY node)
+      SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+      FROM components LEFT JOIN sizes USING (doc_id)""",
     "op6_cover_tree": """
       WITH v AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
