@@ -757,13 +757,17 @@ def request_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.extract_requests(requested_pages(spark, sf_dir)).select("url", F.md5("summary").alias("summary"), "status")
 
 
-@query
-def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = model.load_model(saved_model(spark, sf_dir))
+def scored_pages(spark: SparkSession, sf_dir: str, model_path: str) -> DataFrame:
+    loaded = model.load_model(model_path)
     rows = scoring.score_batch(requested_pages(spark, sf_dir), seen_pages(spark, sf_dir), loaded, PREDICTED_AT)
     return rows.select("url", "category", stamp("predicted_at"), "status")
 
 
+@query
+def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_pages(spark, sf_dir, saved_model(spark, sf_dir))
+
+
 # Streams
 
 

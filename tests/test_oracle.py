@@ -18,6 +18,12 @@ def test_every_statement_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
+def test_statements_need_no_file_of_the_installation(spark, monkeypatch):
+    monkeypatch.setattr("pathlib.Path.glob", lambda *_: iter(()))
+    monkeypatch.setattr("zipfile.ZipFile", None)
+    assert set(contract.oracle.oracle_sql()) <= set(SQL)
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
