@@ -16,7 +16,7 @@ and kept by ``remove_spans`` and ``remove_documents``.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -114,10 +114,12 @@ def mark(
     item_text: str = "text",
     broadcast_bytes: int = BROADCAST_BYTES,
     columns: list[str] | None = None,
+    cut: bool = False,
 ) -> DataFrame:
     """Per row: ``columns`` (default: the id), ``n_words``, ``hit_words`` (positions), ``items`` (ids).
 
-    New columns whose names are taken get underscores.
+    New columns whose names are taken get underscores. With ``cut`` the text, if it is among the
+    columns, comes without its runs of hit words.
     """
     columns = columns or [doc_id]
     words, hits, items = (fresh(name, columns) for name in ("n_words", "hit_words", "items"))
@@ -129,13 +131,13 @@ def mark(
         last = number == len(indexes) - 1
         out = columns if last else kept
         sent = docs.sparkSession.sparkContext.broadcast(index)
-        frame = _scan(frame, sent, text, out, (words, hits, items))
+        frame = _scan(frame, sent, text, out, (words, hits, items), cut and last)
         if not last:
             frame = materialize(frame, "decontaminate")
     return frame
 
 
-def _scan(frame, sent, text, out, names):
+def _scan(frame, sent, text, out, names, cut):
     words, hits, items = names
     schema = ddl(frame.select(*[F.col(f"`{c}`") for c in out]), f"`{words}` long", f"`{hits}` array<int>", f"`{items}` array<string>")
 
@@ -152,9 +154,14 @@ def _scan(frame, sent, text, out, names):
                 row = int(np.searchsorted(first, start, "right")) - 1
                 covered[row].update(range(start - int(first[row]), start - int(first[row]) + size))
                 named[row].update(found)
+            kept = [batch.column(c) for c in out]
+            if cut and text in out and any(covered):
+                values = batch.column(text).to_pylist()
+                values = [cut_words(v.encode(), hit).decode() if hit else v for v, hit in zip(values, covered)]
+                kept[out.index(text)] = pa.array(values, batch.column(text).type)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c) for c in out),
+                    *kept,
                     pa.array(counts, pa.int64()),
                     pa.array([sorted(x) for x in covered], pa.list_(pa.int32())),
                     pa.array([sorted(x) for x in named], pa.list_(pa.string())),
@@ -165,7 +172,7 @@ def _scan(frame, sent, text, out, names):
     return frame.mapInArrow(run, schema)
 
 
-def cut_words(text: bytes, hits: list[int]) -> bytes:
+def cut_words(text: bytes, hits: Collection[int]) -> bytes:
     """``text`` without each run of hit words, from its first to its last byte."""
     marked, kept, at, run = set(hits), [], 0, None
     for position, match in enumerate(WORD.finditer(text.lower())):
@@ -180,22 +187,10 @@ def cut_words(text: bytes, hits: list[int]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", **options) -> DataFrame:
+def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, **options) -> DataFrame:
     """``docs`` with every run of hit words cut from the text; a null text stays null."""
     names = docs.columns
-    marked = mark(docs, benchmark, n, text=text, columns=names, **options)
-    hits = marked.columns[len(names) + 1]
-
-    def run(batches):
-        for batch in batches:
-            old = batch.column(text)
-            values = old.to_pylist()
-            for row, positions in enumerate(batch.column(hits).to_pylist()):
-                if positions:
-                    values[row] = cut_words(values[row].encode(), positions).decode()
-            yield pa.RecordBatch.from_arrays([pa.array(values, old.type) if c == text else batch.column(c) for c in names], names)
-
-    return marked.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{hits}`")).mapInArrow(run, ddl(docs))
+    return mark(docs, benchmark, n, columns=names, cut=True, **options).select(*[F.col(f"`{c}`") for c in names])
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", **options) -> DataFrame:
