@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galley.llm.common import ddl, fresh, slices
+from galley.llm.memory import tidied
 from galley.llm.pieces import LETTERS, Numbers
 
 #: Fixed value: the pattern by which the word-level file splits lower-cased text, over the characters
@@ -250,7 +251,7 @@ def encode(
 
     kept = docs.select(*[F.col(f"`{c}`") for c in carried])
     more = [f"`{ids}` {'binary' if as_bytes else 'array<int>'}", *([f"`{decoded}` string"] if decoded else [])]
-    return kept.mapInArrow(run, ddl(kept.select(*[F.col(f"`{c}`") for c in columns]), *more))
+    return kept.mapInArrow(tidied(run), ddl(kept.select(*[F.col(f"`{c}`") for c in columns]), *more))
 
 
 def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -266,4 +267,4 @@ def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", decoded: str = "
                 texts = [" ".join(map(token, x or ())) for x in part.column(ids).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, decoded])
 
-    return tokens.mapInArrow(run, ddl(tokens, f"`{decoded}` string"))
+    return tokens.mapInArrow(tidied(run), ddl(tokens, f"`{decoded}` string"))

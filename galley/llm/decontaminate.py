@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galley.llm.common import ddl, fresh, slices, texts_as_bytes
+from galley.llm.memory import tidied
 from galley.session import materialize
 
 WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -169,7 +170,7 @@ def _scan(frame, sent, text, out, names, cut):
                 [*out, *names],
             )
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(tidied(run), schema)
 
 
 def cut_words(text: bytes, hits: Collection[int]) -> bytes:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from galley.llm.common import slices, texts_as_bytes
 from galley.llm.components import components
+from galley.llm.memory import tidied
 from galley.session import materialize
 
 COORDINATES = 128
@@ -127,7 +128,7 @@ def _sets(docs: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
             )
 
     frame = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return frame.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, signature binary")
+    return frame.mapInArrow(tidied(run), "doc_id long, n_shingles long, h1 long, h2 long, signature binary")
 
 
 def _pairs(signatures: pa.Array) -> np.ndarray:
@@ -147,7 +148,7 @@ def _cells(classes: DataFrame) -> np.ndarray:
         cells = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(counts[cells])], ["cell", "n"])
 
-    sums = classes.select("signature").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    sums = classes.select("signature").mapInArrow(tidied(run), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     rows = sums.toArrow()
     counts = np.zeros(CELLS, np.int64)
     counts[rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
@@ -169,7 +170,7 @@ def _postings(classes: DataFrame, counts: np.ndarray, prefix: int) -> DataFrame:
                 reps = np.repeat(part.column("rep").to_numpy(), prefix)
                 yield pa.RecordBatch.from_arrays([pa.array(chosen), pa.array(reps)], ["pair", "rep"])
 
-    return classes.select("rep", "signature").mapInArrow(run, "pair long, rep long")
+    return classes.select("rep", "signature").mapInArrow(tidied(run), "pair long, rep long")
 
 
 def _in_blocks(frame: DataFrame, key: str, member: str, size: str, limit: int) -> DataFrame:
@@ -236,7 +237,7 @@ def _candidate_edges(postings: DataFrame, classes: DataFrame, need: int) -> Data
             whole = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).astype(np.uint8).reshape(-1, COORDINATES)
             yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([row.tobytes() for row in whole], pa.binary())], ["rep", "short"])
 
-    short = classes.select("rep", "signature").mapInArrow(shorten, "rep long, short binary")
+    short = classes.select("rep", "signature").mapInArrow(tidied(shorten), "rep long, short binary")
     grouped = _in_blocks(shared, "pair", "rep", "size", GROUP).join(short, "rep")
 
     def run(batches):
@@ -251,7 +252,7 @@ def _candidate_edges(postings: DataFrame, classes: DataFrame, need: int) -> Data
         yield _edge_batch(edges)
 
     ordered = grouped.select("pair", "i", "j", "rep", "short").repartition("pair", "i", "j").sortWithinPartitions("pair", "i", "j", "rep")
-    edges = ordered.mapInArrow(run, "a long, b long")
+    edges = ordered.mapInArrow(tidied(run), "a long, b long")
     return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
@@ -294,7 +295,7 @@ def _confirmed_edges(docs: DataFrame, candidates: DataFrame, k: int, percent: in
     # texts are joined before the blocks multiply them
     own = candidates.join(texts, "node").select("node", "text")
     ordered = own.join(placed, "node").select("label", "i", "j", "node", "text").repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "node")
-    return ordered.mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    return ordered.mapInArrow(tidied(run), "a long, b long").where("a <> b").distinct()
 
 
 def agreements(percent: int) -> int:

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galley.llm.common import ddl, fresh, slices, texts_as_bytes
+from galley.llm.memory import hand_back, tidied
 from galley.llm.near_dup import NO_ID, mix
 
 KEY_SHARE = 0.56
@@ -227,7 +228,7 @@ def _digits(docs: DataFrame, length: int, unit: str, buckets: int) -> DataFrame:
         if held:
             yield flush(held)
 
-    return docs.select("block", "text").mapInArrow(run, _PACKED)
+    return docs.select("block", "text").mapInArrow(tidied(run), _PACKED)
 
 
 def _repeated_digits(digits: DataFrame) -> DataFrame:
@@ -250,7 +251,7 @@ def _repeated_digits(digits: DataFrame) -> DataFrame:
             low, block, often = low[new], block[new], often[new]
             yield _packed_batch([(bucket, key, 0, b - a, _pack(low[a:b], often[a:b])) for key, a, b in _cuts(block)])
 
-    return digits.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, _PACKED)
+    return digits.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(run), _PACKED)
 
 
 def _ordered(left: pa.Table) -> pa.Table:
@@ -261,6 +262,7 @@ def _asked(length: int, unit: str, buckets: int):
     """Step 2: what a block sends on: tokens around repeated digits, and marks of copies inside it."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        hand_back()
         rows = []
         known, often = [np.empty(0, np.uint64)], [np.empty(0, bool)]
         for r in right.to_pylist():
@@ -430,6 +432,7 @@ def _marked(length: int, unit: str, finish):
     """Step 4: ``finish(table, spans)`` for a block; ``spans`` maps a row to byte offsets [[start, stop]]."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        hand_back()
         left = _ordered(left)
         parts = [_unpack(r["payload"], r["n"], "u4", "u4", "u4")[:3] for r in right.to_pylist()]
         spans: dict[int, np.ndarray] = {}
@@ -472,7 +475,7 @@ def _plan(docs: DataFrame, carried: list[str], doc_id: str, text: str, length: i
     )
     repeated_digits = _repeated_digits(_digits(frame, length, unit, buckets))
     asked = frame.groupBy("block").cogroup(repeated_digits.groupBy("block")).applyInArrow(_asked(length, unit, buckets), _PACKED)
-    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compared(length, unit), _PACKED)
+    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_compared(length, unit)), _PACKED)
     return frame.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_marked(length, unit, finish), schema)
 
 

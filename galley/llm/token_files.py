@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from galley.llm.common import slices
+from galley.llm.memory import tidied
 from galley.llm.pieces import encoder
 
 SCHEMA = "part int, doc_id long, before long, n_tokens long, ids array<int>"
@@ -62,7 +63,7 @@ def write_token_files(
             before += int(ends[-1])
 
     (
-        ordered.mapInArrow(run, SCHEMA)
+        ordered.mapInArrow(tidied(run), SCHEMA)
         .write.option("orc.stripe.size", stripe_bytes)
         .option("orc.row.index.stride", row_index_stride)
         .option("orc.bloom.filter.columns", "doc_id")
@@ -95,4 +96,4 @@ def checksums(tokens: DataFrame) -> DataFrame:
                 ["doc_id", "start", "n_tokens", "ids_crc32"],
             )
 
-    return tokens.select("doc_id", "start", "n_tokens", "ids").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return tokens.select("doc_id", "start", "n_tokens", "ids").mapInArrow(tidied(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
