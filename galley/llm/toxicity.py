@@ -187,7 +187,7 @@ def _logistic(rows: np.ndarray, labels: np.ndarray, importance: np.ndarray, pena
     return weights
 
 
-def train(toxic: list[bytes], ordinary: list[bytes], toxic_share: float = 0.25) -> ToxicityModel:
+def train(toxic: list[bytes], ordinary: list[bytes], toxic_share: float = 0.33) -> ToxicityModel:
     """Dictionaries from two of three texts, calibration on the third; ``toxic_share`` is the weight of the toxic ones."""
     toxic, ordinary = (_distinct([t.lower() for t in texts]) for texts in (toxic, ordinary))
     if len(toxic) < 3 or len(ordinary) < 3:
