@@ -292,12 +292,14 @@ def _around(batch, base, ids, length, unit, buckets, known, often):
     at = np.minimum(np.searchsorted(known, place), len(known) - 1)
     hit = known[at] == place
     row, begin, end, place, split = windows.row[hit], windows.begin[hit], windows.end[hit], place[hit], often[at[hit]]
-    if split.any():  # one run for each window, placed by all its tokens
-        sizes = np.where(split, end - begin + 1, 1)
-        own = np.repeat(np.arange(len(row)), sizes)
-        shift = np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        row, split = row[own], split[own]
-        begin, end, place = begin[own] + shift, np.where(split, begin[own] + shift, end[own]), place[own]
+    # text of a short period has one digit throughout: pieces of up to ``length`` windows, whose first and
+    # last window hold all tokens; where the digit is split, one piece for each window, placed by all its tokens
+    step = np.where(split, 1, length)
+    sizes = -(-(end - begin + 1) // step)
+    own = np.repeat(np.arange(len(row)), sizes)
+    shift = (np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) * step[own]
+    row, split, place, begin, end = row[own], split[own], place[own], begin[own] + shift, np.minimum(begin[own] + shift + step[own] - 1, end[own])
+    if split.any():
         spread = mix(place ^ windows.whole[begin])
         place = np.where(split, (_bucket(spread, buckets) << np.uint64(32)) | (spread & _LOW), place)
     size = end - begin + length
@@ -325,7 +327,7 @@ def _sent(found, block, buckets, length):
         source = np.repeat(offset[part] - (np.cumsum(width) - width), width) + np.arange(width.sum())
         payload = _pack(
             (place[part] & _LOW).astype(np.uint32), content[part], ids[part].astype(np.int64), row[part].astype(np.uint32),
-            start[part].astype(np.uint32), width.astype(np.uint16), np.frombuffer(data[source].tobytes(), np.uint8),
+            start[part].astype(np.uint32), width.astype(np.uint32), np.frombuffer(data[source].tobytes(), np.uint8),
         )
         rows.append((bucket, block, 0, b - a, payload))
     return rows
@@ -365,7 +367,7 @@ def _compared(length: int, unit: str):
     item = 1 if unit == "bytes" else 4
 
     def resolve(rows: list[dict]) -> list[tuple]:
-        parts = [_unpack(r["payload"], r["n"], "u4", "u8", "i8", "u4", "u4", "u2") for r in rows]
+        parts = [_unpack(r["payload"], r["n"], "u4", "u8", "i8", "u4", "u4", "u4") for r in rows]
         place, content, ids, row, start, size = (np.concatenate([p[i] for p in parts]) for i in range(6))
         size, start = size.astype(np.int64), start.astype(np.int64)
         data = np.concatenate([*(p[6] for p in parts), np.zeros(8, np.uint8)])

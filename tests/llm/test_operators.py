@@ -58,6 +58,19 @@ def test_repeated_words(documents):
     assert {r.doc_id: r.text for r in found.collect()} == expected
 
 
+@pytest.mark.parametrize("part", ["-", "ha ha, "])
+def test_repeated_long_runs_of_a_short_period(spark, part):
+    other = "".join(np.random.default_rng(5).choice(list("abcdef"), 300))
+    data = [(1, other + part * 70_000), (2, part * 100_000 + other[:200]), (3, part * 60), (4, other)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    expected = plain.repeated_bytes(data)
+    for r in suffix_dedup.repeated(docs).collect():
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == expected[r.doc_id], r.doc_id
+    words = [(1, "one " + "tick tock " * 70_000), (2, "tick tock " * 100_000 + "two"), (3, "a tick " + "tock tick " * 30)]
+    found = suffix_dedup.remove_repeated(spark.createDataFrame(words, "doc_id long, text string").coalesce(1), 50)
+    assert {r.doc_id: r.text for r in found.collect()} == plain.without_repeated_words(words, 50)
+
+
 def test_repeated_edges(edges, no_documents):
     found = suffix_dedup.repeated(edges).collect()
     by_id = {r.doc_id: r for r in found}
