@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galley.llm.common import slices, texts_as_bytes
+from galley.llm.common import fresh, slices, texts_as_bytes
 from galley.llm.components import components
 from galley.llm.memory import tidied
 from galley.session import materialize
@@ -328,8 +328,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the document of the smallest id of each component; rows that repeat an id give one."""
-    key = F.col(f"`{doc_id}`")
-    kept = near_duplicates(docs, k, percent, doc_id, text).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = docs.where(key.isNotNull()).join(kept, key.cast("long") == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
-    return chosen.union(docs.where(key.isNull()))
+    """``docs`` with the document of the smallest id of each component.
+
+    Rows of one id and one text give one. Different texts that share an id are judged each on its own;
+    among those of one component the smallest hash of the text decides.
+    """
+    key, source = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
+    named = docs.where(key.isNotNull())
+    pairs = named.select(key.cast("long").alias("id"), F.xxhash64(source).alias("hash"))
+    several = pairs.groupBy("id").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).where("low < high")
+    if several.isEmpty():
+        return _one_per_number(named, k, percent, doc_id, text).union(docs.where(key.isNull()))
+    number, hashed, own = fresh("number", docs.columns), fresh("hashed", docs.columns), fresh("own_id", docs.columns)
+    # sorted pairs, numbered from partition to partition, keep the order of ids
+    numbers = pairs.distinct().orderBy("id", "hash").select(
+        F.col("id").alias(own), F.col("hash").alias(hashed), F.monotonically_increasing_id().alias(number)
+    )
+    marked = named.withColumn(own, key.cast("long")).withColumn(hashed, F.xxhash64(source))
+    marked = materialize(marked.join(materialize(numbers, "numbers"), [own, hashed]), "numbered")
+    return _one_per_number(marked, k, percent, number, text).select(*[F.col(f"`{c}`") for c in docs.columns]).union(docs.where(key.isNull()))
+
+
+def _one_per_number(docs: DataFrame, k: int, percent: int, number: str, text: str) -> DataFrame:
+    """One row of each kept number, where rows of one number have one text."""
+    kept = near_duplicates(docs, k, percent, number, text).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col(f"`{number}`").cast("long") == F.col("_kept"), "left_semi").dropDuplicates([number])

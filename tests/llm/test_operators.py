@@ -190,6 +190,18 @@ def test_near_duplicates_edges(edges, no_documents):
     assert near_dup.near_duplicates(no_documents, 3, 85).collect() == []
 
 
+def test_different_texts_of_one_id_are_judged_each_on_its_own(spark):
+    text = lambda name: " ".join(f"{name}{n}" for n in range(80))
+    copied, near = text("a"), text("a").replace("a79", "z")
+    data = [(1, copied), (30, near), (30, text("c")), (30, text("c")), (None, copied)]
+    data += [(i, t) for i in range(5, 25) for t in (copied, text(f"b{i}x"))]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = near_dup.keep_one(docs, 3, 85)
+    assert found.columns == docs.columns
+    kept = [(1, copied), (30, text("c")), (0, copied), *[(i, text(f"b{i}x")) for i in range(5, 25)]]
+    assert sorted((r.doc_id or 0, r.text) for r in found.collect()) == sorted(kept)
+
+
 def test_agreements_misses_few():
     """Two sets at the threshold agree on fewer coordinates about once in a million pairs."""
     need = near_dup.agreements(85)
