@@ -64,11 +64,13 @@ def pages_to_score(pages: DataFrame, history: DataFrame) -> DataFrame:
     """One page per URL that the history does not know, the one with the smallest hash of its source.
 
     Only addresses and hashes are compared with the history and with each other; a page's source is
-    moved once, after that.
+    moved once, after that. Pages without URL are one URL that no history knows.
     """
     hashed = pages.select("url", "html", F.xxhash64("html").alias("_hash"))
     chosen = hist.not_yet_predicted(hashed.groupBy("url").agg(F.min("_hash").alias("_hash")), history)
-    return hashed.join(chosen, ["url", "_hash"]).dropDuplicates(["url", "_hash"]).select("url", "html")
+    same = F.col("page.url").eqNullSafe(F.col("chosen.url")) & (F.col("page._hash") == F.col("chosen._hash"))
+    found = hashed.alias("page").join(chosen.alias("chosen"), same, "left_semi")
+    return found.dropDuplicates(["url", "_hash"]).select("url", "html")
 
 
 def score_batch(

@@ -164,6 +164,14 @@ def test_every_request_is_answered(spark, trained):
     assert (foreign.status, foreign.category) == ("foreign", None)
 
 
+def test_pages_without_address_are_answered(spark, trained):
+    fitted, _ = trained
+    pages = spark.createDataFrame([(None, page("goal")), (None, page("goal")), ("https://a", page("goal"))], "url string, html string")
+    known = spark.createDataFrame([(None, "s", "Sports", None), ("https://b", "s", "Sports", None)], "url string, summary string, category string, at string")
+    found = scoring.score_batch(pages, known, fitted.model).collect()
+    assert sorted((r.url or "", r.status) for r in found) == [("", "invalid"), ("https://a", "classified")]
+
+
 def responses(spark, path, numbers, date="2024-01-01 00:00:%02d"):
     made = [([(f"t{n}", date % n if "%" in date else date, "s", "news" if n % 2 else "sport", f"http://l/{n}")] * 2, 2) for n in numbers]
     spark.createDataFrame(made, schemas.API_RESPONSE).coalesce(1).write.mode("append").json(path)
