@@ -96,19 +96,12 @@ def vocabulary_size(df: DataFrame, tokens: str) -> int:
 
 
 def count_vectorizer(df: DataFrame, tokens: str, output: str, min_df: float = 1.0) -> CountVectorizerModel:
-    """Exact term counts. The vocabulary holds every term; it is part of the model and so reaches the
-    driver, where hash buckets (``hashed_counts``) stay bounded."""
+    """Exact term counts as a pipeline stage. The vocabulary holds every term; it is part of the model and so
+    reaches the driver, where hash buckets stay bounded and ``terms.term_vectors`` keeps a table."""
     size = vocabulary_size(df, tokens)
     return CountVectorizer(inputCol=tokens, outputCol=output, vocabSize=size, minDF=min_df).fit(df)
 
 
-def count_vectors(
-    df: DataFrame, tokens: str, output: str = "features", min_df: float = 1.0
-) -> tuple[CountVectorizerModel, DataFrame]:
-    model = count_vectorizer(df, tokens, output, min_df)
-    return model, model.transform(df)
-
-
 def hashed_counts(df: DataFrame, tokens: str, output: str = "features", num_features: int = 1 << 18) -> DataFrame:
     return HashingTF(inputCol=tokens, outputCol=output, numFeatures=num_features).transform(df)
 

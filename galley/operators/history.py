@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galley import schemas
+from galley.session import materialize
+from galley.sources.batches import append_batch, read_batches
 from galley.sources.sinks import append_collection
 
 
@@ -43,15 +45,53 @@ def new_history_rows(predictions: DataFrame, history: DataFrame) -> DataFrame:
     return not_yet_predicted(one_per_url(predictions.where("category IS NOT NULL")), history)
 
 
-def append_history(predictions: DataFrame, history_path: str, fmt: str = "parquet") -> None:
-    """Add the predictions whose URL is new."""
-    spark = predictions.sparkSession
-    history = spark.read.schema(schemas.HISTORY).format(fmt).load(history_path)
-    append_collection(new_history_rows(predictions, history), history_path, fmt)
+# The stored history: batches of rows, in buckets by a hash of the URL.
 
+ROWS = "url string, category string, predicted_at timestamp, summary string, bucket int"
 
-def create_history(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
-    spark.createDataFrame([], schemas.HISTORY).write.format(fmt).save(path)
+
+def create_history(spark: SparkSession, path: str, buckets: int = 64) -> None:
+    """An empty history. The number of buckets is fixed for its life; a lookup reads the buckets of its URLs."""
+    spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(f"{path}/layout")
+
+
+def _bucketed(df: DataFrame, path: str) -> DataFrame:
+    buckets = df.sparkSession.read.schema("buckets int").parquet(f"{path}/layout").first().buckets
+    return df.withColumn("bucket", F.pmod(F.xxhash64("url"), F.lit(buckets)).cast("int"))
+
+
+def known_rows(requests: DataFrame, path: str) -> DataFrame:
+    """Stored rows in the buckets of the requested URLs; the folders of other buckets are not read.
+
+    Only bucket numbers reach the driver. A URL may come twice where appends ran at the same time.
+    """
+    wanted = [row.bucket for row in _bucketed(requests.select("url"), path).select("bucket").distinct().collect()]
+    return read_batches(requests.sparkSession, path, "rows", ROWS).where(F.col("bucket").isin(wanted))
+
+
+def stored_history(spark: SparkSession, path: str) -> DataFrame:
+    """The history, one row per URL: the earliest prediction, whichever append was first."""
+    return one_per_url(read_batches(spark, path, "rows", ROWS))
+
+
+def append_history(predictions: DataFrame, path: str, batch: str | None = None) -> None:
+    """Add the predictions whose URL is new, as one batch that becomes visible at once.
+
+    Repeating an append adds nothing, with or without a name for the batch. Appends at the same time do not
+    see each other and may both add a URL; readers take the earliest prediction.
+    """
+    rows = materialize(_bucketed(one_per_url(predictions.where("category IS NOT NULL")), path), "predictions")
+    new = not_yet_predicted(rows, known_rows(rows, path))
+    sorted_rows = new.repartition("bucket").sortWithinPartitions("bucket", "url")
+    append_batch({"rows": sorted_rows}, path, batch or uuid.uuid4().hex, ["bucket"])
+
+
+def merge_history(spark: SparkSession, path: str, target: str) -> None:
+    """Write the history at ``path`` as one batch to a new history, one file per bucket, after many small appends."""
+    layout = spark.read.schema("buckets int").parquet(f"{path}/layout")
+    layout.write.parquet(f"{target}/layout")
+    rows = _bucketed(stored_history(spark, path), target).repartition("bucket").sortWithinPartitions("bucket", "url")
+    append_batch({"rows": rows}, target, "merged", ["bucket"])
 
 
 def log_retrain(spark: SparkSession, path: str, at: datetime | None = None, fmt: str = "parquet") -> None:

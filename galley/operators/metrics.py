@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def pair_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Rows per (label, prediction): at most the square of the number of classes."""
-    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count("*").alias("n"))
+def pair_counts(df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+    """Rows per (label, prediction): at most the square of the number of classes, for each group of ``by``."""
+    return df.groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count("*").alias("n"))
 
 
 def confusion_matrix(
@@ -26,7 +26,7 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def class_counts(pairs: DataFrame) -> DataFrame:
+def class_counts(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Hits, predictions and support per class. Each pair counts for its label and its prediction."""
     zero = F.lit(0).cast("bigint")
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(zero)
@@ -35,16 +35,16 @@ def class_counts(pairs: DataFrame) -> DataFrame:
         F.struct(F.col("prediction").alias("class"), zero.alias("hits"), zero.alias("support"), F.col("n").alias("predicted")),
     )
     return (
-        pairs.select(F.inline(sides))
-        .groupBy("class")
+        pairs.select(*by, F.inline(sides))
+        .groupBy(*by, "class")
         .agg(*[F.sum(c).alias(c) for c in ("hits", "support", "predicted")])
     )
 
 
-def per_class_report(pairs: DataFrame) -> DataFrame:
+def per_class_report(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     precision = _ratio(F.col("hits"), F.col("predicted"))
     recall = _ratio(F.col("hits"), F.col("support"))
-    scored = class_counts(pairs).withColumns({"precision": precision, "recall": recall})
+    scored = class_counts(pairs, by).withColumns({"precision": precision, "recall": recall})
     both = F.col("precision") + F.col("recall")
     return scored.withColumn("f1", _ratio(2 * F.col("precision") * F.col("recall"), both))
 
@@ -84,3 +84,9 @@ def f1_and_test_error(df: DataFrame, label: str = "label", prediction: str = "pr
     return report.agg(
         f1.alias("f1"), (1 - f1).alias("test_error"), (F.sum("hits") / F.sum("support")).alias("accuracy")
     )
+
+
+def f1_by(df: DataFrame, by: Sequence[str], label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Weighted F1 of each group."""
+    report = per_class_report(pair_counts(df, label, prediction, by), by)
+    return report.groupBy(*by).agg((F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"))

@@ -313,21 +313,63 @@ ANSWERS = f"""answers AS (
     ELSE 'classified' END AS status FROM requested)"""
 
 
-def customer_profile() -> str:
+PROFILED = {
+    "customer": {"c_custkey": True, "c_name": False, "c_nationkey": True, "c_acctbal": True, "c_mktsegment": False},
+    "lineitem": {
+        "l_orderkey": True, "l_partkey": True, "l_suppkey": True, "l_linenumber": True, "l_quantity": True, "l_extendedprice": True,
+        "l_discount": True, "l_tax": True, "l_returnflag": False, "l_linestatus": False, "l_shipdate": False,
+    },
+    "documents": {"doc_id": True, "text": False, "lang": False, "source": False, "n_chars": True},
+}
+
+
+def profiles() -> str:
     selects = []
-    for column, numeric in (
-        ("c_custkey", True), ("c_name", False), ("c_nationkey", True), ("c_acctbal", True), ("c_mktsegment", False),
-    ):
-        quantiles = ", ".join(
-            (f"round(quantile_cont({column}::DOUBLE, {q}), 4)" if numeric else "NULL::DOUBLE") + f" AS {name}"
-            for q, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))
-        )
-        selects.append(f"""SELECT '{column}' AS column_name, count(*) AS rows, count(*) - count({column}) AS nulls,
-          count(DISTINCT {column}) AS "distinct", min({column})::VARCHAR AS "min", max({column})::VARCHAR AS "max",
-          round(avg(length({column}::VARCHAR)), 4) AS avg_length, {quantiles} FROM customer""")
+    for name, columns in PROFILED.items():
+        for column, numeric in columns.items():
+            quantiles = ", ".join(
+                (f"round(quantile_cont({column}::DOUBLE, {q}), 4)" if numeric else "NULL::DOUBLE") + f" AS {name}"
+                for q, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))
+            )
+            selects.append(f"""SELECT '{column}' AS column_name, count(*) AS rows, count(*) - count({column}) AS nulls,
+              count(DISTINCT {column}) AS "distinct", min({column})::VARCHAR AS "min", max({column})::VARCHAR AS "max",
+              round(avg(length({column}::VARCHAR)), 4) AS avg_length, {quantiles} FROM {name}""")
     return " UNION ALL ".join(selects)
 
 
+def fold_scores() -> str:
+    """F1 of every fold under a plain fit on the other folds, for both numbers of buckets."""
+    return f"""{TOPIC_ARTICLES},
+      rows AS (
+        SELECT topic, lemm, ('0x' || substr(md5(topic || chr(31) || lemm), 9, 8))::BIGINT % 3 AS fold FROM topic_articles WHERE lemm <> ''),
+      grid AS (SELECT unnest([1000, 2000])::BIGINT AS nf), folds AS (SELECT unnest([0, 1, 2])::BIGINT AS f),
+      b AS (
+        SELECT topic, lemm, fold, nf, ('0x' || substr(md5(term), 1, 8))::BIGINT % nf AS bucket, count(*) AS tf
+        FROM (SELECT *, unnest(string_split(lemm, ' ')) AS term FROM rows), grid GROUP BY ALL),
+      training AS (SELECT f, topic, count(*) AS n FROM rows, folds WHERE fold <> f GROUP BY ALL),
+      sizes AS (SELECT f, sum(n)::BIGINT AS n FROM training GROUP BY f),
+      idf AS (
+        SELECT f, nf, bucket, CASE WHEN count(*) >= 3 THEN ln((any_value(n) + 1) / (count(*) + 1)) ELSE 0.0 END AS idf
+        FROM b JOIN folds ON fold <> f JOIN sizes USING (f) GROUP BY ALL),
+      weights AS (SELECT f, nf, topic, bucket, sum(tf * idf) AS w FROM b JOIN idf USING (nf, bucket) WHERE fold <> f GROUP BY ALL),
+      totals AS (
+        SELECT f, nf, topic, ln(any_value(n) + 1) AS prior, ln(sum(w) + nf) AS denominator FROM weights JOIN training USING (f, topic) GROUP BY f, nf, topic),
+      sums AS (
+        SELECT b.fold AS f, b.nf, b.topic AS label, lemm, c.topic AS category,
+          any_value(prior) + sum(tf * coalesce(idf, 0) * (ln(coalesce(w, 0.0) + 1) - denominator)) AS score
+        FROM b JOIN totals c ON c.f = b.fold AND c.nf = b.nf LEFT JOIN idf i ON i.f = b.fold AND i.nf = b.nf AND i.bucket = b.bucket
+        LEFT JOIN weights w ON w.f = b.fold AND w.nf = b.nf AND w.topic = c.topic AND w.bucket = b.bucket GROUP BY ALL),
+      guesses AS (SELECT f, nf, label, arg_max(category, score) AS prediction FROM sums GROUP BY f, nf, label, lemm),
+      sides AS (
+        SELECT f, nf, label AS class, (label = prediction)::INTEGER AS hit, 1 AS support, 0 AS predicted FROM guesses
+        UNION ALL SELECT f, nf, prediction, 0, 0, 1 FROM guesses),
+      rates AS (
+        SELECT f, nf, class, sum(support) AS support, CASE WHEN sum(predicted) > 0 THEN sum(hit) / sum(predicted) ELSE 0 END AS p,
+          CASE WHEN sum(support) > 0 THEN sum(hit) / sum(support) ELSE 0 END AS r FROM sides GROUP BY f, nf, class)
+      SELECT nf AS num_features, f AS fold, round(sum(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END * support) / sum(support), 6) AS f1
+      FROM rates GROUP BY nf, f"""
+
+
 def top_of(column: str) -> str:
     return f"""(SELECT '{column}' AS column_name, {column}::VARCHAR AS value, count(*) AS count
       FROM documents GROUP BY value ORDER BY count DESC, value LIMIT 5)"""
@@ -413,7 +455,7 @@ def oracle_sql() -> dict[str, str]:
         "f1_and_test_error": f"""WITH {guesses()}, {REPORT}
             SELECT round(f, 6) AS f1, round(1 - f, 6) AS test_error, round(a, 6) AS accuracy
             FROM (SELECT sum(f1 * support) / sum(support) AS f, sum(hits) / sum(support) AS a FROM report)""",
-        "profile_exact": customer_profile(),
+        "profile_exact": profiles(),
         "profile_top_values": " UNION ALL ".join(top_of(c) for c in ("doc_id", "text", "lang", "source", "n_chars")),
         "page_sizes": "SELECT 2::BIGINT AS page_size, 2::BIGINT AS n_articles, count(*) AS responses FROM documents",
         "newest_first": f"WITH {SEEN} SELECT url, category, predicted_at FROM seen ORDER BY predicted_at DESC, url",
@@ -507,6 +549,7 @@ def oracle_sql() -> dict[str, str]:
         "naive_bayes_predictions": f"""WITH {naive_bayes(TRAIN_TEST, TEST_ROWS)}
             SELECT md5(id.lemm) AS lemm_summary, id.topic AS topic, category FROM scored""",
         "train_report": f"WITH {naive_bayes(TRAIN_TEST, TEST_ROWS)}, {TEST_GUESSES}, {REPORT} {REPORT_ROWS}",
+        "cross_validation": f"WITH {fold_scores()}",
         "score_articles": f"""WITH {naive_bayes(TRAIN_TEST, f"SELECT * FROM (SELECT doc_id AS id, {normalized('text')} AS lemm FROM documents) WHERE lemm <> ''")}
             SELECT id AS doc_id, category, round(confidence, 4) AS confidence FROM scored""",
         "score_batch": f"""WITH {SEEN}, {REQUESTED}, {naive_bayes(TRAIN_TEST, UNSEEN)}, {ANSWERS}

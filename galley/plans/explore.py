@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from galley.functions.text import remove_digits
 from galley.operators import features, profile
+from galley.operators.terms import term_vectors
 
 
 @dataclass(frozen=True)
@@ -41,8 +42,8 @@ def title_words(articles: DataFrame) -> DataFrame:
 
 
 def bag_of_words(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Training and test frames with ``categoryIndex`` and count vectors of the title words."""
+    """Training and test frames with ``categoryIndex`` and the counts of the title words by dictionary index."""
     words = title_words(articles)
     indexed = features.index_labels(words, label="categoryIndex")
-    _, vectors = features.count_vectors(indexed, "filtered")
+    _, vectors = term_vectors(indexed, "filtered")
     return features.split(vectors, F.concat_ws("\x1f", "topic", "title", "summary"))

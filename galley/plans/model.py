@@ -1,27 +1,29 @@
-"""Train, evaluate, tune, save, load and retrain the topic classifier."""
+"""Train, evaluate, save, load and retrain the topic classifier."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, StringIndexer, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galley.operators import features, metrics
+from galley.plans import term_model
 from galley.plans.normalize import normalize
+from galley.plans.term_model import TermModel
 from galley.session import materialize
 
 
+Model = PipelineModel | TermModel
+
+
 def classifier(name: str = "naive_bayes", **params) -> Estimator:
     """``naive_bayes`` (multinomial, smoothing 1) or ``random_forest`` (500 trees)."""
     if name == "naive_bayes":
@@ -32,7 +34,11 @@ def classifier(name: str = "naive_bayes", **params) -> Estimator:
 
 
 def feature_stages(vectorizer: str = "hashing", num_features: int = 1 << 18, min_doc_freq: int = 3) -> list:
-    """Tokenizer, term counts and IDF; ``count`` uses all exact terms instead of hash buckets."""
+    """Tokenizer, term counts and IDF; ``count`` uses all exact terms instead of hash buckets.
+
+    As stages of a pipeline the exact terms are part of the model, which the driver holds; naive Bayes over
+    exact terms is a ``TermModel`` instead.
+    """
     if vectorizer == "hashing":
         counts = HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features)
     elif vectorizer == "count":
@@ -94,7 +100,7 @@ def _fit(train: DataFrame, labelled: DataFrame, estimator: Estimator | None, **f
 
 @dataclass(frozen=True)
 class Training:
-    model: PipelineModel
+    model: Model
     predictions: DataFrame
     report: DataFrame
     confusion: DataFrame
@@ -111,35 +117,57 @@ def train(
     """Fit on one part of ``(lemm_summary, topic)``, evaluate on the other, save if a path is given.
 
     The normalized rows are read by every fitting pass, so they are written once first. The split
-    depends on their content alone.
+    depends on their content alone. ``vectorizer="count"`` without an ``estimator`` fits naive Bayes over
+    exact terms as tables.
     """
     rows = materialize(normalized.select("lemm_summary", "topic"), "normalized")
     training, test = features.split(rows, F.concat_ws("\x1f", "topic", "lemm_summary"), percent)
-    model = _fit(training, rows, estimator, **feature_options)
+    if estimator is None and feature_options.get("vectorizer") == "count":
+        model = _fit_terms(training, **feature_options)
+        indexer = StringIndexer(inputCol="topic", outputCol="label").fit(rows)
+        labels = indexer.labels
+        guessed = indexer.transform(term_model.score(test, model))
+        predicted = F.array_position(F.array(*map(F.lit, labels)), F.col("category")) - 1
+        predictions = guessed.withColumn("prediction", predicted.cast("double"))
+    else:
+        model = _fit(training, rows, estimator, **feature_options)
+        labels = model.stages[0].labels
+        predictions = model.transform(test)
     if path is not None:
         save_model(model, path)
-    predictions = materialize(
-        model.transform(test).select("lemm_summary", "topic", "label", "prediction", "category"), "predictions"
-    )
+    predictions = materialize(predictions.select("lemm_summary", "topic", "label", "prediction", "category"), "predictions")
     return Training(
         model=model,
         predictions=predictions,
         report=metrics.classification_report(predictions, "topic", "category"),
-        confusion=metrics.confusion_matrix(predictions, model.stages[0].labels, "topic", "category"),
+        confusion=metrics.confusion_matrix(predictions, labels, "topic", "category"),
         scores=metrics.f1_and_test_error(predictions),
     )
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def _fit_terms(rows: DataFrame, vectorizer: str = "count", **options) -> TermModel:
+    return term_model.fit_once(rows, **options)
+
+
+def save_model(model: Model, path: str) -> None:
+    if isinstance(model, TermModel):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
+
 
+def load_model(path: str) -> Model:
+    """The model saved at ``path``, of either kind."""
+    return term_model.load(SparkSession.active(), path) or PipelineModel.load(path)
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
 
+def score(df: DataFrame, model: Model) -> DataFrame:
+    """All rows with ``category`` and the probability of that class.
 
-def score(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """All rows with ``category`` and the probability of that class; batch or streaming."""
+    A ``PipelineModel`` also works on streams; a ``TermModel`` joins and needs a batch.
+    """
+    if isinstance(model, TermModel):
+        return term_model.score(df, model)
     scored = model.transform(df)
     probability = F.array_max(vector_to_array("probability"))
     return scored.select(*df.columns, "category", probability.alias("confidence"))
@@ -147,33 +175,23 @@ def score(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 def retrain(
     history: DataFrame, base: DataFrame | None, path: str, normalize_options: dict | None = None, **feature_options
-) -> PipelineModel:
+) -> Model:
     """Fit a fresh classifier on the predicted history, joined by the base articles if given.
 
-    The result replaces the model at ``path``, the one that scoring loads.
+    The result replaces the model at ``path``, the one that scoring loads. With ``vectorizer="count"`` the
+    state of the classifier stays beside it and only grows: articles counted before, by this or an
+    earlier call, are skipped, so the rows since the last training (``newer_than_last_training``) are
+    enough, and the whole history gives the same model.
     """
     articles = history.withColumnsRenamed({"category": "topic"}).select("summary", "topic")
     if base is not None:
         articles = articles.unionByName(base.select("summary", "topic"))
     rows = materialize(normalize(articles, **(normalize_options or {})), "retrain")
-    model = _fit(rows, rows, None, **feature_options)
+    if feature_options.get("vectorizer") == "count":
+        options = {k: v for k, v in feature_options.items() if k != "vectorizer"}
+        term_model.add_articles(rows, f"{path}/state")
+        model = term_model.fit(rows.sparkSession, f"{path}/state", **options)
+    else:
+        model = _fit(rows, rows, None, **feature_options)
     save_model(model, path)
     return model
-
-
-def cross_validate(
-    normalized: DataFrame, num_features: Sequence[int] = (1000, 2000), folds: int = 3, parallelism: int = 2, seed: int = 11
-) -> CrossValidatorModel:
-    """Choose the number of hash buckets by F1."""
-    rows = materialize(normalized.select("lemm_summary", "topic"), "normalized")
-    tokenizer, hashing, idf = feature_stages()
-    indexer = StringIndexer(inputCol="topic", outputCol="label").fit(rows)
-    decoder = IndexToString(inputCol="prediction", outputCol="category", labels=indexer.labels)
-    return CrossValidator(
-        estimator=Pipeline(stages=[indexer, tokenizer, hashing, idf, classifier(), decoder]),
-        estimatorParamMaps=ParamGridBuilder().addGrid(hashing.numFeatures, list(num_features)).build(),
-        evaluator=MulticlassClassificationEvaluator(metricName="f1"),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=seed,
-    ).fit(rows)

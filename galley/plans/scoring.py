@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galley.functions import language
 from galley.functions.text import extract_article_text, extract_table_text, is_blank
-from galley.operators import history as hist
 from galley.operators.filters import request_status
-from galley.plans.model import score
+from galley.plans.model import Model, score
 from galley.plans.normalize import cleaned_text
 from galley.session import evaluate_once
 
@@ -27,7 +25,7 @@ def extract_requests(pages: DataFrame) -> DataFrame:
 
 def classify_requests(
     requests: DataFrame,
-    model: PipelineModel,
+    model: Model,
     predicted_at: datetime | None = None,
     lang: str | None = None,
     min_score: float = 0.9,
@@ -37,7 +35,7 @@ def classify_requests(
 
     ``status`` is ``classified``, or why there is no category: ``invalid`` (no address or no text),
     ``foreign`` (not of language ``lang``, if one is asked for) or ``empty`` (nothing left after
-    cleaning). Nothing is dropped or joined, so it works on streams.
+    cleaning). Nothing is dropped. With a ``PipelineModel`` it works on streams, too.
     """
     stamp = F.current_timestamp() if predicted_at is None else F.lit(predicted_at)
     is_valid = F.col("status") == "valid"
@@ -63,18 +61,21 @@ def classify_requests(
 def pages_to_score(pages: DataFrame, history: DataFrame) -> DataFrame:
     """One page per URL that the history does not know, the one with the smallest hash of its source.
 
-    Only addresses and hashes are compared with the history and with each other; a page's source is
-    moved once, after that. Pages without URL are one URL that no history knows.
+    Only keys and hashes are compared with the history and with each other. The sources move once, dealt by
+    key and hash, which also brings equal copies together; the keys to keep, one per new URL, are
+    broadcast by the adaptive planner if they are few, and then only their pages move. Pages without
+    URL are one URL that no history knows.
     """
-    hashed = pages.select("url", "html", F.xxhash64("html").alias("_hash"))
-    chosen = hist.not_yet_predicted(hashed.groupBy("url").agg(F.min("_hash").alias("_hash")), history)
-    same = F.col("page.url").eqNullSafe(F.col("chosen.url")) & (F.col("page._hash") == F.col("chosen._hash"))
-    found = hashed.alias("page").join(chosen.alias("chosen"), same, "left_semi")
-    return found.dropDuplicates(["url", "_hash"]).select("url", "html")
+    key = F.when(F.col("url").isNull(), "").otherwise(F.concat(F.lit("="), "url"))
+    hashed = pages.select(key.alias("_key"), "url", F.xxhash64("html").alias("_hash"), "html")
+    firsts = hashed.groupBy("_key").agg(F.min("_hash").alias("_hash"))
+    known = history.select(F.concat(F.lit("="), "url").alias("_key"))
+    chosen = firsts.join(known, "_key", "left_anti")
+    return hashed.join(chosen, ["_key", "_hash"], "left_semi").dropDuplicates(["_key", "_hash"]).select("url", "html")
 
 
 def score_batch(
-    pages: DataFrame, history: DataFrame, model: PipelineModel, predicted_at: datetime | None = None, **options
+    pages: DataFrame, history: DataFrame, model: Model, predicted_at: datetime | None = None, **options
 ) -> DataFrame:
     """Extract and classify the pages whose URL the history does not know; one row per URL.
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from galley import schemas
 from galley.functions import language, lexical, records, text
 from galley.functions.words import BUILT_IN_LANGUAGES, ENGLISH_STOP_WORDS
-from galley.operators import features, filters, history, metrics, profile
-from galley.plans import explore, model, normalize, scoring
+from galley.operators import features, filters, history, metrics, profile, terms
+from galley.plans import explore, model, normalize, scoring, tuning
 from galley.session import evaluate_once, materialize, scratch_path
 from galley.sources import articles as src
 from galley.sources import sinks
@@ -228,10 +229,17 @@ def write_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digested(spark.table(name).withColumn("datetime", stamp("datetime")))
 
 
+def stored_pages(spark: SparkSession, sf_dir: str) -> str:
+    """A history store that holds the seen pages."""
+    path = scratch_path(spark, "history")
+    history.create_history(spark, path)
+    history.append_history(seen_pages(spark, sf_dir), path)
+    return path
+
+
 @query
 def append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "history")
-    seen_pages(spark, sf_dir).write.parquet(path)
+    path = stored_pages(spark, sf_dir)
     predictions = requested_urls(spark, sf_dir).select(
         "url",
         F.concat(F.lit("attempt "), "attempt").alias("category"),
@@ -239,7 +247,7 @@ def append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("page_id").cast("string").alias("summary"),
     )
     history.append_history(predictions, path)
-    return src.read_history(spark, path).select("url", "category", stamp("predicted_at"), "summary")
+    return history.stored_history(spark, path).select("url", "category", stamp("predicted_at"), "summary")
 
 
 # Projections
@@ -408,9 +416,13 @@ def f1_and_test_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = profile.profile(table(spark, sf_dir, "customer"), exact=True)
+    """Profiles of three tables, one below the other."""
     rounded = [F.round(c, 4).alias(c) for c in ("avg_length", "q25", "median", "q75")]
-    return rows.select("column_name", "rows", "nulls", "distinct", "min", "max", *rounded)
+    reports = [
+        profile.profile(table(spark, sf_dir, name), exact=True).select("column_name", "rows", "nulls", "distinct", "min", "max", *rounded)
+        for name in ("customer", "lineitem", "documents")
+    ]
+    return reduce(DataFrame.union, reports)
 
 
 @query
@@ -640,12 +652,10 @@ def vocabulary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def count_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Total of each vocabulary entry over the vectors."""
-    tokens = materialize(feature_tokens(spark, sf_dir), "tokens")
-    vectorizer, rows = features.count_vectors(tokens, "words")
-    totals = features.vector_entries(rows, "features").groupBy("index").agg(F.sum("value").cast("bigint").alias("tf"))
-    terms = spark.createDataFrame(list(enumerate(vectorizer.vocabulary)), "index int, term string")
-    return totals.join(terms, "index").select("term", "tf")
+    """Total of each dictionary entry over the vectors."""
+    words, rows = terms.term_vectors(feature_tokens(spark, sf_dir).select("doc_id", "words"), "words")
+    totals = rows.select(F.inline("features")).groupBy("index").agg(F.sum("value").cast("bigint").alias("tf"))
+    return words.select("term", "index").join(totals, "index").select("term", "tf")
 
 
 @query
@@ -723,9 +733,8 @@ def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted = model.cross_validate(topic_articles(spark, sf_dir))
-    grid = [(params[p], float(f1)) for params, f1 in zip(fitted.getEstimatorParamMaps(), fitted.avgMetrics) for p in params]
-    return spark.createDataFrame(grid, "num_features int, f1 double")
+    scores = tuning.cross_validate(topic_articles(spark, sf_dir)).scores
+    return scores.select("num_features", "fold", F.round("f1", 6).alias("f1"))
 
 
 def saved_model(spark: SparkSession, sf_dir: str) -> str:
@@ -835,13 +844,13 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages scored as a stream of files: the history afterwards, and the answers without a class."""
     base = scratch_path(spark, "scoring")
     loaded = model.load_model(saved_model(spark, sf_dir))
-    seen_pages(spark, sf_dir).write.parquet(f"{base}/history")
+    stored = stored_pages(spark, sf_dir)
     requested_pages(spark, sf_dir).write.parquet(f"{base}/pages")
     stream = spark.readStream.schema("url string, html string").parquet(f"{base}/pages")
     answers = f"{base}/answers"
-    run_to_end(landing.score_stream(stream, loaded, f"{base}/history", f"{base}/checkpoint", PREDICTED_AT, answers_path=answers))
-    stored = src.read_history(spark, f"{base}/history").withColumn("status", F.lit("stored"))
-    others = spark.read.parquet(answers).where("status <> 'classified'").select(*stored.columns)
-    return stored.union(others).select("url", "category", stamp("predicted_at"), "status")
+    run_to_end(landing.score_stream(stream, loaded, stored, f"{base}/checkpoint", PREDICTED_AT, answers_path=answers))
+    kept = history.stored_history(spark, stored).withColumn("status", F.lit("stored"))
+    others = spark.read.parquet(answers).where("status <> 'classified'").select(*kept.columns)
+    return kept.union(others).select("url", "category", stamp("predicted_at"), "status")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +12,9 @@ from pyspark.sql.types import StructType
 from galley import schemas
 from galley.functions.records import decode_records
 from galley.operators import history as hist
+from galley.plans.model import Model
 from galley.plans.scoring import classify_requests, extract_requests
+from galley.session import materialize
 
 
 def decoded(records: DataFrame, schema: StructType = schemas.ARTICLE) -> DataFrame:
@@ -35,7 +36,7 @@ def land_stream(
 
 def score_stream(
     pages: DataFrame,
-    model: PipelineModel,
+    model: Model,
     history_path: str,
     checkpoint: str,
     predicted_at: datetime | None = None,
@@ -45,15 +46,16 @@ def score_stream(
 ) -> StreamingQuery:
     """Extract, normalize and score pages as they arrive; add the new URLs to the history.
 
-    Scoring is stateless. The append compares each micro-batch with the history, which makes a
-    repeated batch harmless. With ``answers_path`` every request's answer is kept there as well, one
-    replaceable folder per micro-batch.
+    Extraction is part of the stream; each micro-batch is scored on its own, written once, and appended.
+    The append looks up the buckets of its URLs only, and skips known ones, which makes a repeated batch
+    harmless. With ``answers_path`` every request's answer is kept there as well, one replaceable folder
+    per micro-batch.
     """
     def add_batch(batch: DataFrame, batch_id: int) -> None:
-        hist.append_history(batch, history_path)
+        answers = materialize(classify_requests(batch, model, predicted_at, **options), "answers")
+        hist.append_history(answers, history_path)
         if answers_path:
-            batch.write.mode("overwrite").parquet(f"{answers_path}/batch={batch_id}")
+            answers.write.mode("overwrite").parquet(f"{answers_path}/batch={batch_id}")
 
-    predictions = classify_requests(extract_requests(pages), model, predicted_at, **options)
-    writer = predictions.writeStream.foreachBatch(add_batch).option("checkpointLocation", checkpoint)
+    writer = extract_requests(pages).writeStream.foreachBatch(add_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

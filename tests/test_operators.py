@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from galley import schemas
 from galley.functions import records
-from galley.operators import features, filters, history, metrics, profile
+from galley.operators import features, filters, history, metrics, profile, terms
 from galley.session import evaluate_once, materialize
 from galley.sources import articles, sinks
 
@@ -42,10 +42,11 @@ def test_csv_columns_of_each_file(spark, tmp_path):
 
 
 def test_vocabulary_is_not_cut(spark):
-    terms = spark.range(300_000).select(F.array(F.concat(F.lit("t"), "id")).alias("words"))
-    vectorizer, vectors = features.count_vectors(terms, "words")
-    assert len(vectorizer.vocabulary) == 300_000
-    assert features.vector_entries(vectors, "features").count() == 300_000
+    frame = spark.range(300_000).select(F.array(F.concat(F.lit("t"), "id")).alias("words"))
+    words, vectors = terms.term_vectors(frame, "words")
+    found = words.agg(F.count("*"), F.count_distinct("index"), F.min("index"), F.max("index")).first()
+    assert tuple(found) == (300_000, 300_000, 0, 299_999)
+    assert vectors.select(F.inline("features")).count() == 300_000
 
 
 def test_csv_keeps_corrupt_rows(spark, tmp_path):
@@ -125,7 +126,7 @@ def test_history(spark, tmp_path):
     batch = [("a", "World", later, "s"), ("a", "Sports", at, "s"), ("b", "Sports", at, "s")]
     for _ in range(2):
         history.append_history(spark.createDataFrame(batch, schemas.HISTORY), path)
-    stored = articles.read_history(spark, path)
+    stored = history.stored_history(spark, path)
     assert rows(stored.select("url", "category")) == [("a", "Sports"), ("b", "World")]
     asked = spark.createDataFrame([("a",), ("a",), ("c",)], "url string")
     assert rows(history.cached_predictions(asked, stored)) == [("a", "Sports")]

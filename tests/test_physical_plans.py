@@ -57,14 +57,52 @@ def test_vocabulary_shuffles_partial_counts(documents):
     assert "partial_sum" in physical(plan)
 
 
-def test_known_urls_leave_before_their_pages_move(spark):
+def test_pages_move_once(spark):
+    """One exchange carries the sources; the comparison with the history and the choice of copies see keys only."""
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     known = pages.select("url").limit(3)
     chosen = scoring.pages_to_score(pages, known)
-    plan = physical(chosen)
-    assert "partial_min(_hash" in plan and "LeftAnti" in plan
-    assert "min(html" not in plan and "SortAggregate" not in plan[plan.index("LeftAnti") :]
-    assert chosen.count() == pages.select("url").distinct().count() - 3
+    expected = pages.select("url").distinct().count() - 3
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = chosen._jdf.queryExecution().executedPlan().toString()
+        tree = chosen._jdf.queryExecution().executedPlan()
+        wide = [line for line in exchanged(tree) if "html" in line]
+        assert len(wide) == 1, wide
+        assert "partial_min(_hash" in text and "LeftAnti" in text and "min(html" not in text
+        assert chosen.count() == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def exchanged(plan):
+    """Columns that each shuffle of a plan moves."""
+    own = [plan.output().mkString(",")] if plan.nodeName() == "Exchange" else []
+    children = plan.children()
+    return own + [line for i in range(children.length()) for line in exchanged(children.apply(i))]
+
+
+def test_history_reads_the_buckets_of_a_batch(spark, tmp_path):
+    path = str(tmp_path / "history")
+    history.create_history(spark, path, buckets=32)
+    at = F.lit("2024-01-01").cast("timestamp").alias("predicted_at")
+    rows = spark.range(500).select(F.concat(F.lit("u"), "id").alias("url"), F.lit("World").alias("category"), at, F.lit("s").alias("summary"))
+    history.append_history(rows, path, "first")
+    asked = spark.createDataFrame([("u7",), ("u7",), ("new",)], "url string")
+    near = history.known_rows(asked, path)
+    plan = physical(near)
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan) and "PushedFilters" in plan
+    buckets = {re.search(r"bucket=(\d+)", file).group(1) for file in near.inputFiles() if "bucket=" in file}
+    read = {r.bucket for r in near.select("bucket").distinct().collect()}
+    assert len(read) <= 2 < len(buckets) or len(buckets) <= 2
+    assert [r.url for r in history.already_predicted(asked, near).distinct().collect()] == ["u7"]
+
+
+def test_exact_profile_has_no_percentile(documents):
+    frame = profile.profile(documents, exact=True)
+    assert not re.search("percentile|Expand", physical(frame))
 
 
 def test_hot_urls_can_be_split(spark):

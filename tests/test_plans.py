@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from galley import schemas
 from galley.operators import history
-from galley.plans import model, scoring
+from galley.plans import model, scoring, tuning
 from galley.plans.normalize import normalize, normalize_for_prediction
 from galley.sources import articles
 from galley.streaming import ingest, landing
@@ -88,8 +88,8 @@ def test_other_classifiers(labelled):
     rows = normalize(labelled, lang=None)
     forest = model.classifier("random_forest", numTrees=20, maxDepth=8, seed=1)
     assert model.train(rows, estimator=forest, vectorizer="count").scores.first()["accuracy"] > 0.5
-    best = model.cross_validate(rows, num_features=(8, 2000), folds=2)
-    assert best.bestModel.stages[2].getNumFeatures() == 2000
+    found = tuning.cross_validate(rows, num_features=(8, 2000), folds=2)
+    assert found.best == 2000 and found.scores.count() == 4
     with pytest.raises(ValueError):
         model.classifier("other")
 
@@ -124,9 +124,9 @@ def test_batch_scoring(spark, trained, pages, tmp_path):
     history.create_history(spark, path)
     known = spark.createDataFrame([("https://u0", "Old", at, "s")], schemas.HISTORY)
     history.append_history(known, path)
-    predictions = scoring.score_batch(pages, articles.read_history(spark, path), fitted.model, at, lang=None)
+    predictions = scoring.score_batch(pages, history.stored_history(spark, path), fitted.model, at, lang=None)
     history.append_history(predictions, path)
-    found = {r["url"]: r["category"] for r in articles.read_history(spark, path).collect()}
+    found = {r["url"]: r["category"] for r in history.stored_history(spark, path).collect()}
     assert found == {"https://hot": "World", "https://u0": "Old", **{f"https://u{i}": "Science" for i in range(1, 18)}}
 
 
@@ -142,7 +142,7 @@ def test_stream_scoring_equals_batch(spark, trained, pages, tmp_path):
     empty = spark.createDataFrame([], schemas.HISTORY)
     batch = scoring.score_batch(pages, empty, fitted.model, at, lang=None)
     key = lambda f: sorted(map(tuple, f.select("url", "category", "predicted_at").collect()))
-    assert key(articles.read_history(spark, path)) == key(batch.where("status = 'classified'"))
+    assert key(history.stored_history(spark, path)) == key(batch.where("status = 'classified'"))
 
 
 def test_every_request_is_answered(spark, trained):
