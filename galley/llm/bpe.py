@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 
 from galley.llm.common import ddl, fresh, slices
 from galley.llm.memory import tidied
-from galley.llm.pieces import LETTERS, Numbers
+from galley.llm.pieces import Numbers
 
+#: Letters of plain Latin.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 #: Fixed value: the pattern by which the word-level file splits lower-cased text, over the characters
 #: below. Letters come first, as nothing else starts like them. The rest is dropped.
 PATTERN = rf"[{LETTERS}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\s0-9{LETTERS}]+"

@@ -1,27 +1,23 @@
-"""Whole-text encoding with a byte-level tokenizer file, one encoding per distinct word.
+"""Whole-text encoding with a byte-level tokenizer file, one encoding per distinct piece between blanks.
 
-A byte-level tokenizer splits text into words by a fixed pattern and merges within each word, so the
-ids of a word do not depend on its neighbours. Texts of plain Latin characters are split here and only
-words not seen yet go to the tokenizers library; any other text goes there whole.
+The splitter of such a file ends a word before every space that a visible character follows, whatever
+stands before the space. So the ids of a text are those of its pieces, cut at these spaces, one after
+another. A piece is encoded once, by the tokenizers library, and remembered; new pieces go to the library
+joined into one text. A text that is not cut safely, or a file with another splitter, goes there whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
 from itertools import chain, islice
 
 import numpy as np
 
-#: Letters of plain Latin, and the pattern by which a byte-level tokenizer splits text, over
-#: the characters below. Letters come first, as nothing else starts like them and most words are letters.
-LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
-PATTERN = rf" ?[{LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+"
-#: Plain Latin without raised digits and fractions.
-_OTHER = re.compile("[^\t\n\r -~¡-±´-¸º»¿-ſ]")
-_ASCII = bytes([0x09, 0x0A, 0x0D, *range(0x20, 0x7F)])
-#: Words remembered by a worker before it starts afresh; this bounds memory only.
-REMEMBERED = 400_000
+#: Pieces remembered by a worker before it starts afresh; this bounds memory only.
+REMEMBERED = 1_000_000
+#: Pieces joined into one text for the library.
+JOINED = 20_000
 
 
 class Numbers(dict):
@@ -41,57 +37,88 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = sorted(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
-        self.split = re.compile(PATTERN).findall
+        self.cuts = self._cuts_at_spaces() and not any(" " in s for s in self.special)
         self._forget()
 
+    def _cuts_at_spaces(self) -> bool:
+        """Whether the file splits by the byte-level pattern alone."""
+        told = json.loads(self.tokenizer.to_str())
+        splitter, model = told["pre_tokenizer"] or {}, told["model"]
+        level = splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True) and not splitter.get("add_prefix_space")
+        return bool(level) and not told["normalizer"] and model.get("type") == "BPE" and not model.get("dropout")
+
     def _forget(self) -> None:
         self.numbers = Numbers()
-        self.flat, self.starts = np.empty(0, np.int32), np.zeros(1, np.int64)
+        self.flat, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.unsafe = np.empty(0, bool)
 
     def _learn(self) -> None:
-        """Encode the words numbered since the last call."""
-        words = list(islice(self.numbers, len(self.starts) - 1, None))
-        found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)] if words else []
-        self.flat = np.concatenate([self.flat, *found])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)])
-
-    def plain(self, text: str) -> bool:
-        """Whether the text may be split here."""
-        if text.isascii():
-            return not text.encode().translate(None, _ASCII) and not any(s in text for s in self.special)
-        return not _OTHER.search(text) and not any(s in text for s in self.special)
+        """Encode the pieces numbered since the last call. A piece that ends in a space is the first of its text."""
+        new = list(islice(self.numbers, len(self.unsafe), None))
+        if not new:
+            return
+        # unsafe: a blank behind the space, or a special token
+        unsafe = np.array([not p or (p[0] <= " " or p[0] > "~") and p[0].isspace() and p != " " for p in new], bool)
+        for mark in self.special:
+            if mark in " ".join(new):
+                unsafe |= np.array([mark in p for p in new], bool)
+        head = np.array([p[-1:] == " " for p in new], bool)
+        starts, sizes, flat, length = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), [self.flat], len(self.flat)
+        inner = np.flatnonzero(~unsafe & ~head)
+        for at in range(0, len(inner), JOINED):
+            some = inner[at : at + JOINED]
+            text = " " + " ".join([new[i] for i in some.tolist()])
+            ids = self._encoded(text)
+            # tokens end where pieces end, so their bytes tell to which piece they belong
+            data = np.frombuffer(text.encode(), np.uint8)
+            ends = np.append(np.flatnonzero(data == 32)[1:], len(data))
+            stops = np.searchsorted(np.cumsum(self.byte_lengths()[ids]), ends, "right")
+            starts[some], sizes[some] = length + np.append(0, stops[:-1]), np.diff(stops, prepend=0)
+            flat.append(ids)
+            length += len(ids)
+        heads = np.flatnonzero(~unsafe & head).tolist()
+        for i, encoding in zip(heads, self.tokenizer.encode_batch_fast([new[i][:-1] for i in heads], add_special_tokens=False)):
+            flat.append(np.array(encoding.ids, np.int32))
+            starts[i], sizes[i] = length, len(flat[-1])
+            length += len(flat[-1])
+        self.flat = np.concatenate(flat)
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+        self.unsafe = np.concatenate([self.unsafe, unsafe])
+
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
 
     def byte_lengths(self) -> np.ndarray:
         """Bytes of text behind each id. A token of a byte-level vocabulary has a character a byte."""
-        lengths = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
-        for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            lengths[number] = len(token)
-        return lengths
+        if not hasattr(self, "_lengths"):
+            lengths = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+            for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
+                lengths[number] = len(token)
+            self._lengths = lengths
+        return self._lengths
 
-    def _encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and how many each text has."""
+        if not self.cuts:
+            found = [self._encoded(text) for text in texts]
+            return np.concatenate([np.empty(0, np.int32), *found]), np.array([len(x) for x in found], np.int64)
         if len(self.numbers) > REMEMBERED:
             self._forget()
-        words = [self.split(text) for text in texts]
-        total = sum(map(len, words))
-        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int64, total)
+        pieces = [text.split(" ") for text in texts]
+        for own in pieces:
+            own[0] += " "
+        ends = np.cumsum([len(own) for own in pieces], dtype=np.int64)
+        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(pieces)), np.int64, int(ends[-1]) if len(ends) else 0)
         self._learn()
-        sizes = self.starts[numbers + 1] - self.starts[numbers]
-        before = np.concatenate([[0], np.cumsum(sizes)])
+        sizes = self.sizes[numbers]
+        before = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
         ids = self.flat[np.arange(before[-1]) + np.repeat(self.starts[numbers] - before[:-1], sizes)]
-        ends = np.concatenate([[0], np.cumsum([len(found) for found in words])]).astype(np.int64)
-        return ids, np.diff(before[ends])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after another, and how many each text has."""
-        odd = [not self.plain(t) for t in texts]
-        if not any(odd):
-            return self._encode_plain(texts)
-        ids, counts = self._encode_plain([t for t, is_odd in zip(texts, odd) if not is_odd])
-        parts = iter(np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else ())
-        found = [
-            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.int32) if is_odd else next(parts)
-            for t, is_odd in zip(texts, odd)
-        ]
+        bounds = before[np.concatenate([np.zeros(1, np.int64), ends])]
+        odd = np.unique(np.searchsorted(ends, np.flatnonzero(self.unsafe[numbers]), "right"))
+        if not len(odd):
+            return ids, np.diff(bounds)
+        whole = {i: self._encoded(texts[i]) for i in odd.tolist()}
+        found = [whole[i] if i in whole else ids[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
         return np.concatenate(found), np.array([len(x) for x in found], np.int64)
 
 
