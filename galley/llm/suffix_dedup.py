@@ -21,7 +21,8 @@ nearly all of them at a small cost:
 Documents are dealt to blocks of about ``BLOCK_BYTES`` by a hash of their id, so a task holds one block,
 one bucket of digits, or one document if that is longer.
 
-Words are runs of characters other than blanks, compared as they are. Null texts are empty. Rows that
+Words are runs of characters other than blanks, compared by 64-bit hashes of their bytes. Hashes of whole runs
+only propose equal ones; their tokens are compared before a mark counts. Null texts are empty. Rows that
 share an id do not mark each other. Rows without an id come after all others. Repeated rows give repeated
 results; other columns are ignored by ``repeated`` and kept by ``remove_repeated``. An empty table gives
 no rows.
@@ -66,16 +67,16 @@ def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _word_codes(text: bytes) -> np.ndarray:
-    """A 32-bit hash for each word, from the sums of its hashed bytes and places."""
+    """A 64-bit hash for each word, from the sums of its hashed bytes and places."""
     first, stop = word_bounds(text)
     if not len(first):
-        return np.empty(0, np.uint32)
+        return np.empty(0, np.uint64)
     data = np.frombuffer(text, np.uint8)
     starts = np.append(0, first[first > 0])
     place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
     hashed = mix(_BYTE_HASH[data] + place.astype(np.uint64) * _Q)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed)])
-    return (mix(sums[stop] - sums[first]) >> np.uint64(32)).astype(np.uint32)
+    return mix(sums[stop] - sums[first])
 
 
 def tokens(text: bytes, unit: str) -> np.ndarray:
@@ -98,7 +99,7 @@ class Windows:
         self.data = np.concatenate(docs) if docs else np.empty(0, np.uint8)
         sizes = np.array([len(d) for d in docs], np.int64)
         self.first = np.cumsum(sizes) - sizes
-        one = _BYTE_HASH[self.data] if self.data.dtype == np.uint8 else mix(self.data.astype(np.uint64) * _P + _Q)
+        one = _BYTE_HASH[self.data] if self.data.dtype == np.uint8 else mix(self.data * _P + _Q)
         spans = {1: one}
         size = 1
         while 2 * size <= length:
@@ -308,13 +309,45 @@ def _around(batch, base, ids, length, unit, buckets, known, often):
     return place, content, ids[base + row], base + row, begin - windows.first[row], size, windows.data[source]
 
 
+def _equal_runs(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` values of ``data`` from ``a`` on are those from ``b`` on, for each pair."""
+    equal = np.ones(len(a), bool)
+    for part in np.split(np.arange(len(a)), np.flatnonzero(np.diff(np.cumsum(size) // SLICE)) + 1):
+        if len(part):
+            width = size[part]
+            first = np.cumsum(width) - width
+            step = np.arange(width.sum()) - np.repeat(first, width)
+            equal[part] = ~np.logical_or.reduceat(data[np.repeat(a[part], width) + step] != data[np.repeat(b[part], width) + step], first)
+    return equal
+
+
+def _groups(place: np.ndarray, content: np.ndarray, ids: np.ndarray, size: np.ndarray, offset: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by place, content and id, the first of each group of equal tokens in it, and the contents told apart.
+
+    Tokens of one hash are compared with the first of their group; where they differ the hash is changed,
+    so that they form a group of their own.
+    """
+    while True:
+        order = np.lexsort((ids, content, place))
+        new = np.ones(len(order), bool)
+        new[1:] = (place[order][1:] != place[order][:-1]) | (content[order][1:] != content[order][:-1])
+        first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        pair = order != first
+        same_size = size[order] == size[first]
+        check = np.flatnonzero(pair & same_size)
+        differs = pair & ~same_size
+        differs[check] = ~_equal_runs(data, offset[order[check]], offset[first[check]], size[order[check]])
+        if not differs.any():
+            return order, new, content
+        content = content.copy()
+        content[order[differs]] = mix(content[order[differs]] + _P)
+
+
 def _sent(found, block, buckets, length):
     place, content, ids, row, start, size = (np.concatenate([f[i] for f in found]) for i in range(6))
     data = np.concatenate([f[6] for f in found])
     offset = np.cumsum(size) - size
-    order = np.lexsort((ids, content, place))
-    new = np.ones(len(order), bool)
-    new[1:] = (place[order][1:] != place[order][:-1]) | (content[order][1:] != content[order][:-1])
+    order, new, content = _groups(place, content, ids, size, offset, data)
     group = np.cumsum(new) - 1
     lowest = ids[order][new][group] if len(order) else ids
     later = ids[order] > lowest
@@ -364,7 +397,7 @@ def _sorted_groups(groups: np.ndarray, at: np.ndarray, ids: np.ndarray, data: np
 
 def _compared(length: int, unit: str):
     """Steps 2 and 3, in: marks for each block from the tokens that met in a bucket."""
-    item = 1 if unit == "bytes" else 4
+    item = 1 if unit == "bytes" else 8
 
     def resolve(rows: list[dict]) -> list[tuple]:
         parts = [_unpack(r["payload"], r["n"], "u4", "u8", "i8", "u4", "u4", "u4") for r in rows]
@@ -373,10 +406,8 @@ def _compared(length: int, unit: str):
         data = np.concatenate([*(p[6] for p in parts), np.zeros(8, np.uint8)])
         block = np.repeat([r["block"] for r in rows], [r["n"] for r in rows])
         offset = (np.cumsum(size) - size) * item
-        order = np.lexsort((ids, content, place))
+        order, new, content = _groups(place, content, ids, size * item, offset, data)
         place, content, ids, row, start, size, block, offset = (a[order] for a in (place, content, ids, row, start, size, block, offset))
-        new = np.ones(len(place), bool)
-        new[1:] = (place[1:] != place[:-1]) | (content[1:] != content[:-1])
         number = np.cumsum(new) - 1
         first = np.flatnonzero(new)
         later = ids > ids[first][number]

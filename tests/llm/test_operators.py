@@ -435,3 +435,45 @@ def test_fresh():
 
 def test_every_operator_has_a_query():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+
+
+def test_words_of_one_short_hash_are_told_apart(spark):
+    """Two words whose 32-bit hashes are equal do not make their passages equal."""
+    first = " ".join(f"word{i}" for i in range(30)) + " w1d096 " + " ".join(f"tail{i}" for i in range(29))
+    docs = spark.createDataFrame([(1, first), (2, first.replace("w1d096", "w53dd3")), (3, first)], "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: r.text for r in suffix_dedup.remove_repeated(docs, 50).collect()}
+    assert found == {1: first, 2: first.replace("w1d096", "w53dd3"), 3: ""}
+
+
+def test_equal_hashes_of_different_tokens_are_told_apart(documents, monkeypatch):
+    """With one hash for the contents of all runs, groups are found by their tokens alone."""
+    data = np.array([1, 2, 3, 1, 2, 3, 1, 2, 4, 1, 2], np.uint8)
+    offset, size = np.array([0, 3, 6, 9]), np.array([3, 3, 3, 2])
+    zeros = np.zeros(4, np.uint64)
+    order, new, content = suffix_dedup._groups(zeros, zeros, np.array([4, 3, 2, 1]), size, offset, data)
+    groups = {}
+    for place, number in zip(order.tolist(), np.cumsum(new).tolist()):
+        groups.setdefault(number, set()).add(place)
+    assert sorted(groups.values(), key=min) == [{0, 1}, {2}, {3}]
+    assert len(set(content.tolist())) == 3
+
+
+def test_piece_encoder_equals_the_library(monkeypatch):
+    from galley.llm import pieces
+
+    tool = Tokenizer.from_file(BYTE)
+    rng = np.random.default_rng(8)
+    parts = ["word", "Word,", "it's", " ", "  ", "\n", "\t", " \n", "12", "日本", "é", " ", " x", "<|endoftext|>", "...", "\x00", "\x1c", "😀", "don't\nstop", "", "'s", " a"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12)).tolist()) for _ in range(3000)] + ["", " ", "a ", " a", "\n a", "a\n b", "a  b"]
+    monkeypatch.setattr(pieces, "JOINED", 7)
+    monkeypatch.setattr(pieces, "REMEMBERED", 500)
+    for path in (BYTE, WORD):
+        tool, own = Tokenizer.from_file(path), pieces.PieceEncoder(path)
+        assert own.cuts == (path == BYTE)
+        for at in range(0, len(texts), 100):
+            some = texts[at : at + 100]
+            ids, counts = own.encode(some)
+            expected = [tool.encode(t, add_special_tokens=False).ids for t in some]
+            assert counts.tolist() == list(map(len, expected)) and ids.tolist() == sum(expected, [])
+    ids, counts = pieces.PieceEncoder(BYTE).encode([])
+    assert len(ids) == len(counts) == 0
