@@ -38,7 +38,8 @@ LOST_E = (
 )
 # One vowel between consonants, as in "mak" or "hop": a doubled consonant would have survived.
 SHORT_STEM = r"^[^aeiou]*[aeiou][^aeiouwxy]$"
-DOUBLED = r"(?:bb|dd|gg|mm|nn|pp|rr|tt)$"
+# A doubled l is undone in stems of several syllables: "controll", "travell", but not "call".
+DOUBLED = r"(?:bb|dd|gg|mm|nn|pp|rr|tt|[aeiou][^aeiou]+[aeiou]ll)$"
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,7 @@ def is_kept(word: Column) -> Column:
     return ~one_of(word, CLOSED_CLASS_WORDS) & ~is_adverb(word)
 
 
-def _regular_verb_form(word: Column) -> Column:
+def regular_verb_form(word: Column) -> Column:
     ending = (word.endswith("ing") & (F.length(word) >= 5)) | (word.endswith("ed") & (F.length(word) >= 4))
     return ending & ~one_of(word, ED_ING_NON_VERBS)
 
@@ -87,7 +88,7 @@ def pos_tag(word: Column, lexicon: Lexicon = ENGLISH) -> Column:
     return (
         F.when(one_of(word, CLOSED_CLASS_WORDS), "X")
         .when(is_adverb(word), "RB")
-        .when(one_of(word, lexicon.verb_exceptions) | _regular_verb_form(word), "VB")
+        .when(one_of(word, lexicon.verb_exceptions) | regular_verb_form(word), "VB")
         .when(word.rlike(ADJECTIVE), "JJ")
         .when(_plural_ending(word), "NNS")
         .otherwise("NN")
@@ -106,7 +107,7 @@ def _cut(word: Column, n: int) -> Column:
     return F.substr(word, F.lit(1), F.length(word) - n)
 
 
-def _rule_verb_lemma(word: Column) -> Column:
+def rule_verb_lemma(word: Column) -> Column:
     return (
         F.when(word.rlike("[aeiouy].*ing$"), _restore(_cut(word, 3)))
         .when(word.endswith("ied"), F.when(F.length(word) == 4, _cut(word, 1)).otherwise(F.concat(_cut(word, 3), F.lit("y"))))
@@ -116,24 +117,29 @@ def _rule_verb_lemma(word: Column) -> Column:
     )
 
 
-def _indexed_verb_lemma(word: Column, verbs: frozenset[str]) -> Column:
-    """Shortest detached form that is a known verb; the word itself if there is none."""
+def detached_forms(word: Column) -> Column:
+    """The word and its forms without a verb's endings; null where an ending does not fit."""
     def detach(suffix: str, ending: str) -> Column:
         return F.when(word.endswith(suffix), F.concat(_cut(word, len(suffix)), F.lit(ending)))
 
     # The verb detachment rules of the public Morphy algorithm.
     rules = [("s", ""), ("ies", "y"), ("es", "e"), ("es", ""), ("ed", "e"), ("ed", ""), ("ing", "e"), ("ing", "")]
-    known = F.filter(F.array(word, *[detach(*rule) for rule in rules]), lambda form: one_of(form, verbs))
+    return F.array(word, *[detach(*rule) for rule in rules])
+
+
+def _indexed_verb_lemma(word: Column, verbs: frozenset[str]) -> Column:
+    """Shortest detached form that is a known verb; the word itself if there is none."""
+    known = F.filter(detached_forms(word), lambda form: one_of(form, verbs))
     shortest = F.array_min(F.transform(known, lambda form: F.struct(F.length(form).alias("n"), form.alias("form"))))
     return F.coalesce(shortest["form"], word)
 
 
 def verb_lemma(word: Column, lexicon: Lexicon = ENGLISH) -> Column:
-    regular = _indexed_verb_lemma(word, lexicon.verbs) if lexicon.verbs else _rule_verb_lemma(word)
+    regular = _indexed_verb_lemma(word, lexicon.verbs) if lexicon.verbs else rule_verb_lemma(word)
     return F.coalesce(lookup(word, lexicon.verb_exceptions), regular)
 
 
-def _rule_noun_lemma(word: Column) -> Column:
+def rule_noun_lemma(word: Column) -> Column:
     return (
         F.when(word.rlike("[a-z]{2}men$"), F.concat(_cut(word, 2), F.lit("an")))
         .when(~_plural_ending(word), word)
@@ -145,7 +151,7 @@ def _rule_noun_lemma(word: Column) -> Column:
 
 
 def noun_lemma(word: Column, lexicon: Lexicon = ENGLISH) -> Column:
-    return F.coalesce(lookup(word, lexicon.noun_exceptions), _rule_noun_lemma(word))
+    return F.coalesce(lookup(word, lexicon.noun_exceptions), rule_noun_lemma(word))
 
 
 def _inflected_lemma(word: Column, lexicon: Lexicon) -> Column:
@@ -159,10 +165,10 @@ def _inflected_lemma(word: Column, lexicon: Lexicon) -> Column:
         for form, lemma in lexicon.noun_exceptions.items()
         if form in ED_ING_NON_VERBS or not form.endswith(("ing", "ed"))
     }
-    regular = _indexed_verb_lemma(word, lexicon.verbs) if lexicon.verbs else _rule_verb_lemma(word)
+    regular = _indexed_verb_lemma(word, lexicon.verbs) if lexicon.verbs else rule_verb_lemma(word)
     return F.coalesce(
         lookup(word, {**nouns, **lexicon.verb_exceptions}),
-        F.when(_regular_verb_form(word), regular).otherwise(_rule_noun_lemma(word)),
+        F.when(regular_verb_form(word), regular).otherwise(rule_noun_lemma(word)),
     )
 
 

@@ -48,7 +48,7 @@ nothing red ring sacred seed shed sing something speed spring string swing thing
 """.split()
 
 # Plurals of words in -oe.
-OE_PLURALS = "aloes canoes doe does floes foes hoes horseshoes oboes roes shoes sloes throes tiptoes toes woes".split()
+OE_PLURALS = "aloes canoes floes foes hoes horseshoes oboes roes shoes sloes throes tiptoes toes woes".split()
 
 # Irregular English verb forms, "form lemma".
 IRREGULAR_VERBS = dict(pair.split() for pair in """
@@ -74,7 +74,19 @@ tore tear; torn tear; tying tie; understood understand; undertook undertake; wen
 withdrawn withdraw; withdrew withdraw; dreamt dream; flung fling; ground grind; knelt kneel; leapt leap; lit light;
 shrunk shrink; slain slay; slew slay; sped speed; spat spit; spilt spill; spun spin; spoilt spoil; stank stink;
 stung sting; swollen swell; trod tread; wrung wring; woke wake; won win; wore wear; worn wear; wove weave;
-written write; wrote write
+written write; wrote write; added add; adding add; is be; are be; am be; was be; were be; been be; being be; has have; had have; having have;
+does do; did do; doing do; bound bind; foresaw foresee; foreseen foresee; forsook forsake; forsaken forsake;
+foretold foretell; mown mow; overran overrun; overheard overhear; overthrown overthrow; oversaw oversee; overseen oversee;
+sewn sew; sown sow; sawn saw; strewn strew; striven strive; strove strive; swum swim; undergone undergo; underwent undergo;
+undone undo; undid undo; withheld withhold; withstood withstand; upheld uphold; beheld behold; befell befall; befallen befall;
+besought beseech; borne bear; dwelt dwell; forgone forgo; hewn hew; interwoven interweave;
+lain lie; mistook mistake; outgrew outgrow; outgrown outgrow; partook partake; redone redo; rewritten rewrite; rewrote rewrite;
+shod shoe; shorn shear; slung sling; slunk slink; smitten smite; smote smite; stridden stride; strode stride; strung string;
+stricken strike; swore swear; thrived thrive; throve thrive; undertaken undertake; unwound unwind; woken wake;
+woven weave; wringing wring; installed install; installing install; enrolled enroll; enrolling enroll; recalled recall;
+recalling recall; fulfilled fulfill; fulfilling fulfill; distilled distill; distilling distill; instilled instill;
+refilled refill; refilling refill; appalled appall; appalling appall; enthralled enthrall; fuelled fuel; fuelling fuel;
+dialled dial; dialling dial; duelled duel; duelling duel
 """.replace("\n", " ").strip().split(";"))
 
 # Irregular English plurals, "form lemma"; a singular in -s or -men maps to itself.
@@ -90,7 +102,10 @@ mathematics mathematics; mice mouse; movies movie; news news; nuclei nucleus; om
 phenomena phenomenon; physics physics; pies pie; politics politics; regimen regimen; reuters reuters; rookies rookie;
 scarves scarf; selves self; series series; shelves shelf; species species; specimen specimen;
 stimuli stimulus; teeth tooth; texas texas; theses thesis; thieves thief; ties tie; wives wife;
-wolves wolf; zombies zombie
+wolves wolf; zombies zombie; lens lens; lenses lens; leaves leaf; staves staff; sheaves sheaf; dwarves dwarf; wharves wharf;
+ellipses ellipsis; emphases emphasis; parentheses parenthesis; prognoses prognosis; synopses synopsis;
+oases oasis; radii radius; larvae larva; alumnae alumna; vertebrae vertebra; errata erratum; curricula curriculum;
+stadia stadium; dice die; brethren brother; gentlemen gentleman; chassis chassis; corps corps; headquarters headquarters
 """.replace("\n", " ").strip().split(";"))
 
 # Language names of Spark's built-in stop-word lists and their ISO 639-1 codes.

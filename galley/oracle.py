@@ -479,6 +479,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT word, n, {pos_tag('word')} AS tag, {lemma('word')} AS lemma FROM counted""",
         "keep_pos": f"SELECT doc_id, md5(array_to_string({keep_pos(words('lower(text)'))}, ' ')) AS text FROM documents",
         "lemmatize": f"SELECT doc_id, md5(array_to_string({lemmas(feature_words('text'))}, ' ')) AS text FROM documents",
+        "lemmatize_table": f"SELECT doc_id, md5(array_to_string({lemmas(feature_words('text'))}, ' ')) AS text FROM documents",
         "title_digits": "SELECT c_custkey, regexp_replace(c_name, '[0-9]+', '', 'g') AS only_str FROM customer",
         "non_word_tokens": f"WITH {ARTICLES} SELECT source, array_to_string({title_words}, '|') AS words FROM articles",
         "stop_words_remover": f"""WITH split AS (

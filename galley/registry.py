@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 
 from galley import schemas
 from galley.functions import language, lexical, records, text
-from galley.functions.words import BUILT_IN_LANGUAGES, ENGLISH_STOP_WORDS
-from galley.operators import features, filters, history, metrics, profile, terms
+from galley.functions.words import BUILT_IN_LANGUAGES, ENGLISH_STOP_WORDS, IRREGULAR_NOUNS, IRREGULAR_VERBS
+from galley.operators import features, filters, history, lemmas, metrics, profile, terms
 from galley.plans import explore, model, normalize, scoring, tuning
 from galley.session import evaluate_once, materialize, scratch_path
 from galley.sources import articles as src
 from galley.sources import sinks
-from galley.sources.word_lists import word_lists
+from galley.sources.word_lists import lemma_exceptions, word_lists, write_exceptions
 from galley.streaming import ingest, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -527,8 +527,21 @@ def keep_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lemmatize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lemmas = lexical.lemmatize(text.feature_words(F.col("text")))
-    return documents(spark, sf_dir).select("doc_id", F.md5(F.array_join(lemmas, " ")).alias("text"))
+    found = lexical.lemmatize(text.feature_words(F.col("text")))
+    return documents(spark, sf_dir).select("doc_id", F.md5(F.array_join(found, " ")).alias("text"))
+
+
+@query
+def lemmatize_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lemmas by a table read from files in the public exception format."""
+    base = scratch_path(spark, "exceptions")
+    tables = []
+    for pos, entries in (("v", IRREGULAR_VERBS), ("n", IRREGULAR_NOUNS)):
+        write_exceptions(spark, entries, f"{base}/{pos}.exc")
+        tables.append(lemma_exceptions(spark, f"{base}/{pos}.exc", pos))
+    rows = documents(spark, sf_dir).select("doc_id", text.feature_words(F.col("text")).alias("words"))
+    found = lemmas.lemmatize_by_table(rows, F.col("words"), tables[0].union(tables[1]))
+    return found.select("doc_id", F.md5("lemmas").alias("text"))
 
 
 @query

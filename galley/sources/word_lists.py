@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +38,16 @@ def indexed_words(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.element_at(F.split("value", " "), 1).alias("word")).filter("word <> ''")
 
 
+def write_exceptions(spark: SparkSession, table: Mapping[str, str], path: str) -> None:
+    """A lemma table as a file of lines ``form lemma``."""
+    spark.createDataFrame(list(table.items()), "form string, lemma string").select(F.concat_ws(" ", "form", "lemma")).coalesce(1).write.text(path)
+
+
 def read_lexicon(spark: SparkSession, verb_exceptions: str, noun_exceptions: str, verb_index: str | None = None) -> Lexicon:
-    """Load lemma tables into plan literals, refusing more rows than a lexicon may hold."""
+    """Load lemma tables into plan literals, refusing more rows than a lexicon may hold.
+
+    Tables of any size stay tables: ``operators.lemmas.lemmatize_by_table`` joins them.
+    """
     def fetch(df: DataFrame) -> list:
         rows = df.limit(Lexicon.MAX_ENTRIES + 1).collect()
         if len(rows) > Lexicon.MAX_ENTRIES:

@@ -138,7 +138,7 @@ LEMMAS = {
     "spun": "spin", "knelt": "kneel", "slain": "slay", "shrunk": "shrink", "leapt": "leap", "flung": "fling",
     "dreamt": "dream", "stung": "sting", "stank": "stink", "swollen": "swell", "spat": "spit", "mice": "mouse",
     "feet": "foot", "geese": "goose", "teeth": "tooth", "wolves": "wolf", "knives": "knife", "lives": "life",
-    "wives": "wife", "shelves": "shelf", "leaves": "leave", "cities": "city", "stories": "story", "movies": "movie",
+    "wives": "wife", "shelves": "shelf", "leaves": "leaf", "cities": "city", "stories": "story", "movies": "movie",
     "analyses": "analysis", "crises": "crisis", "criteria": "criterion", "phenomena": "phenomenon", "cacti": "cactus",
     "buses": "bus", "wishes": "wish", "churches": "church", "glasses": "glass", "status": "status", "news": "news",
     "policemen": "policeman", "written": "write", "wrote": "write", "taken": "take", "took": "take", "began": "begin",
