@@ -262,6 +262,11 @@ def article_text(x: str) -> str:
     return f"array_to_string({words(visible)}, ' ')"
 
 
+EARLIEST = f"""
+  SELECT source, CASE WHEN length(summary) % 2 = 0 THEN 'again: ' || title ELSE title END AS title, topic,
+    CASE WHEN length(summary) % 2 = 0 THEN strftime(TIMESTAMP '2024-01-01' + to_minutes(doc_id) - INTERVAL 30 MINUTE, {STAMP})
+      ELSE published_date END AS published_at FROM articles"""
+
 TOPIC_ARTICLES = f"topic_articles AS (SELECT DISTINCT lang AS topic, {normalized('text')} AS lemm FROM documents)"
 
 TRAIN_TEST = f"""{TOPIC_ARTICLES},
@@ -573,8 +578,8 @@ def oracle_sql() -> dict[str, str]:
             FROM documents GROUP BY lang""",
         "reject_stream": f"""WITH {ARTICLES} SELECT source, published_date[1:14] AS published_date, topic FROM articles
             WHERE published_date[15:16]::INTEGER >= 30""",
-        "dedup_stream": f"WITH {ARTICLES} SELECT source, topic, published_date AS published_at FROM articles",
-        "batch_dedup": f"WITH {ARTICLES} SELECT source, topic, published_date AS published_at FROM articles",
+        "dedup_stream": f"WITH {ARTICLES} {EARLIEST}",
+        "batch_dedup": f"WITH {ARTICLES} {EARLIEST}",
         "land_stream": f"WITH {ARTICLES} SELECT {DIGESTED} FROM articles",
         "land_rejects": f"""WITH {ARTICLES} SELECT topic, ('{{"title":' || to_json(title) || ',"published_date":"' || published_date)[1:20] AS value FROM articles
             WHERE topic = 'es'""",

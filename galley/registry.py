@@ -822,18 +822,37 @@ def reject_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schemas.ARTICLE).json(f"{base}/rejected").select("source", "published_date", "topic")
 
 
+def copies_of_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles as two polls bring them: the second an hour after the first, dated half an hour earlier or later."""
+    rows = raw_articles(spark, sf_dir)
+    shift = F.when(F.length("summary") % 2 == 0, F.expr("interval -30 minutes")).otherwise(F.expr("interval 30 minutes"))
+    moved = F.date_format(F.to_timestamp("published_date", STAMP) + shift, STAMP)
+    second = rows.withColumn("published_date", moved).withColumn("title", F.concat(F.lit("again: "), "title"))
+    return rows.withColumn("arrived", F.lit("2024-03-01 00:00:00")).union(second.withColumn("arrived", F.lit("2024-03-01 01:00:00")))
+
+
+def responses_of(rows: DataFrame) -> DataFrame:
+    article = F.struct("title", "published_date", "summary", "topic", "link")
+    return rows.select("arrived", F.array(article).alias("articles"), F.lit(1).cast("bigint").alias("page_size"))
+
+
 @query
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_path(spark, "dedup")
-    stream = ingest.dated(ingest.response_stream(spark, landed_responses(spark, sf_dir)))
-    run_to_end(landing.land_stream(ingest.dedup_articles(stream), f"{base}/stored", f"{base}/checkpoint"))
-    return spark.read.parquet(f"{base}/stored").select("source", "topic", stamp("published_at"))
+    """The copy of each article that was published first; an empty poll a day later ends the wait."""
+    path, base = scratch_path(spark, "responses"), scratch_path(spark, "dedup")
+    responses_of(copies_of_polls(spark, sf_dir)).write.partitionBy("arrived").json(path)
+    closing = spark.range(1).select(F.lit("2024-03-02 12:00:00").alias("arrived"), F.array().cast("array<struct<title:string>>").alias("articles"))
+    for _ in range(2):
+        stream = ingest.first_published(ingest.dated(ingest.arrival_stream(spark, path)), gap="1 day")
+        run_to_end(landing.land_stream(stream, f"{base}/stored", f"{base}/checkpoint"))
+        closing.write.mode("append").partitionBy("arrived").json(path)
+    return spark.read.parquet(f"{base}/stored").select("source", "title", "topic", stamp("published_at"))
 
 
 @query
 def batch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = src.flatten_api_articles(api_responses(spark, sf_dir))
-    return ingest.batch_dedup(ingest.dated(rows)).select("source", "topic", stamp("published_at"))
+    rows = src.flatten_api_articles(responses_of(copies_of_polls(spark, sf_dir)))
+    return ingest.batch_dedup(ingest.dated(rows)).select("source", "title", "topic", stamp("published_at"))
 
 
 @query

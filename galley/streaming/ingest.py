@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from galley import schemas
 from galley.functions.records import parse_published
@@ -20,13 +21,30 @@ def response_stream(spark: SparkSession, landing: str, **options: str) -> DataFr
     return flatten_api_articles(spark.readStream.schema(schemas.API_RESPONSE).options(**options).json(landing))
 
 
+def arrival_stream(spark: SparkSession, landing: str, delay: str = "0 seconds", **options: str) -> DataFrame:
+    """Landed API responses as a stream of articles with the time of ``arrived``, on which a watermark follows.
+
+    The time is that of the landing folder (``arrived=<timestamp>``). A response without articles moves the
+    watermark as well, so an idle feed is closed by an empty poll.
+    """
+    schema = StructType([*schemas.API_RESPONSE.fields, StructField("arrived", TimestampType())])
+    responses = spark.readStream.schema(schema).options(**options).json(landing).withWatermark("arrived", delay)
+    # the outer form leaves responses without articles in until the watermark has seen them
+    exploded = responses.select("arrived", F.explode_outer("articles").alias("article")).where("article IS NOT NULL")
+    return exploded.select(
+        "arrived", *[F.col(f"article.{'link' if name == 'source' else name}").alias(name) for name in schemas.ARTICLE.fieldNames()]
+    )
+
+
 def dated(articles: DataFrame) -> DataFrame:
     """Articles with the parsed ``published_at``."""
     return evaluate_once(articles, published_at=parse_published(F.col("published_date")))
 
 
 def dedup_articles(articles: DataFrame, key: str = "source", delay: str = "7 days", salts: int = 8) -> DataFrame:
-    """One article per key among those that arrive within ``delay`` of each other.
+    """One article per key among those that arrive within ``delay`` of each other: the one that arrives first.
+
+    It is passed on at once; ``first_published`` waits for the copy published first.
 
     The watermark follows the time of arrival, not the published date. It bounds the state, and as
     no row arrives late, old and undated articles are kept. Copies are removed per salted key first,
@@ -40,11 +58,27 @@ def dedup_articles(articles: DataFrame, key: str = "source", delay: str = "7 day
     return unique.dropDuplicatesWithinWatermark([key]).drop("_arrived")
 
 
+def _first_copy(articles: DataFrame, *others: str) -> Column:
+    """The copy published first, ties by content; undated copies come last."""
+    rest = [c for c in articles.columns if c not in others]
+    return F.min(F.struct(F.col("published_at").isNull().alias("undated"), "published_at", *[c for c in rest if c != "published_at"])).alias("first")
+
+
 def batch_dedup(articles: DataFrame, key: str = "source") -> DataFrame:
     """The batch form: the first published copy of each key, ties by content."""
-    rest = [c for c in articles.columns if c not in (key, "published_at")]
-    first = F.min(F.struct("published_at", *rest)).alias("first")
-    return articles.groupBy(key).agg(first).select(key, "first.*")
+    return articles.groupBy(key).agg(_first_copy(articles, key)).select(key, "first.*").drop("undated")
+
+
+def first_published(articles: DataFrame, key: str = "source", gap: str = "7 days") -> DataFrame:
+    """The copy of each key published first among those that arrive within ``gap`` of the one before.
+
+    The batch form on a stream: copies wait as one small state per key, the earliest so far, and the result
+    is emitted when the watermark on ``arrived`` shows that no copy came for ``gap``. What counts is the time of
+    arrival, so old and undated articles are not late. A source sent over and over is merged in each task
+    before it moves (``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``).
+    """
+    sessions = articles.groupBy(key, F.session_window("arrived", gap)).agg(_first_copy(articles, key, "arrived"))
+    return sessions.select(key, "first.*").drop("undated")
 
 
 def ingest_stream(

@@ -205,6 +205,30 @@ def test_old_and_undated_articles_are_kept(spark, tmp_path):
     assert batch.filter(F.col("published_at").isNotNull()).count() == 3
 
 
+def test_stream_keeps_the_copy_published_first(spark, tmp_path):
+    """Copies arrive over three runs in any order of dates; undated ones give way, and alone they are kept."""
+    base = str(tmp_path)
+    polls = [("00:00:00", {1: "2024-01-05 00:00:00", 2: "someday", 3: "2024-01-01 00:00:00", 4: "never"}),
+             ("00:30:00", {1: "2024-01-02 00:00:00", 2: "2024-01-09 00:00:00", 3: "2024-01-02 00:00:00"}),
+             ("01:00:00", {1: "2024-01-03 00:00:00", 5: "1999-01-01 00:00:00"})]
+    everything = None
+    for time, dates in polls:
+        made = [([(f"t{n}", date, "s", "news", f"http://l/{n}")] * 2, 2) for n, date in dates.items()]
+        frame = spark.createDataFrame(made, schemas.API_RESPONSE).coalesce(1)
+        everything = frame if everything is None else everything.union(frame)
+        frame.withColumn("arrived", F.lit(f"2024-03-01 {time}")).write.mode("append").partitionBy("arrived").json(f"{base}/landing")
+        stream = ingest.first_published(ingest.dated(ingest.arrival_stream(spark, f"{base}/landing")), gap="2 hours")
+        landing.land_stream(stream, f"{base}/stored", f"{base}/cp").awaitTermination()
+    closing = spark.createDataFrame([([], 0)], schemas.API_RESPONSE).withColumn("arrived", F.lit("2024-03-01 09:00:00"))
+    closing.write.mode("append").partitionBy("arrived").json(f"{base}/landing")
+    stream = ingest.first_published(ingest.dated(ingest.arrival_stream(spark, f"{base}/landing")), gap="2 hours")
+    landing.land_stream(stream, f"{base}/stored", f"{base}/cp").awaitTermination()
+    key = lambda f: sorted((r.source, r.published_date) for r in f.select("source", "published_date").collect())
+    expected = key(ingest.batch_dedup(ingest.dated(articles.flatten_api_articles(everything))))
+    assert key(spark.read.parquet(f"{base}/stored")) == expected
+    assert dict(expected)["http://l/1"] == "2024-01-02 00:00:00" and dict(expected)["http://l/2"] == "2024-01-09 00:00:00"
+
+
 def test_landing_resumes_from_its_checkpoint(spark, tmp_path):
     base = str(tmp_path)
     for value in ('{"title":"a","topic":"news"}', "broken", '{"title":"b","topic":"news"}'):
