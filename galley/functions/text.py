@@ -186,9 +186,12 @@ def unescape_html(text: Column) -> Column:
     return let(let(text, _numeric_unescaped), _named_unescaped)
 
 
+# Comments, scripts and styles that are never closed hide the rest of the page.
 INVISIBLE = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<nav\b.*?</nav\s*>"
+    r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<nav\b.*?</nav\s*>"
 )
+# A tag starts with a letter behind its sign; a bare sign is text.
+TAG = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
 
 
 def _element(html: Column, tag: str) -> Column:
@@ -218,7 +221,7 @@ def extract_article_text(html: Column) -> Column:
         return found
 
     inside = let(F.regexp_replace(html, INVISIBLE, " "), body)
-    visible = unescape_html(F.regexp_replace(inside, "<[^>]*>", " "))
+    visible = unescape_html(F.regexp_replace(inside, TAG, " "))
     return F.array_join(split_words(visible), " ")
 
 

@@ -251,12 +251,12 @@ REPORT_ROWS = f"""
   UNION ALL SELECT 'weighted avg', round(p, 6), round(r, 6), round(f, 6), s
     FROM (SELECT {WEIGHTED}, sum(support)::BIGINT FROM report) AS t(p, r, f, s)"""
 
-INVISIBLE = "(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<nav\\b.*?</nav\\s*>"
+INVISIBLE = "(?is)<!--.*?(-->|\\z)|<script\\b.*?(</script\\s*>|\\z)|<style\\b.*?(</style\\s*>|\\z)|<nav\\b.*?</nav\\s*>"
 
 
 def article_text(x: str) -> str:
     body = f"regexp_extract(regexp_replace({x}, '{INVISIBLE}', ' ', 'g'), '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1)"
-    visible = f"regexp_replace({body}, '<[^>]*>', ' ', 'g')"
+    visible = f"regexp_replace({body}, '</?[A-Za-z][^>]*>|<[!?][^>]*>', ' ', 'g')"
     for entity, character in HTML_ENTITIES.items():
         visible = f"replace({visible}, {quoted(entity)}, {quoted(character)})"
     return f"array_to_string({words(visible)}, ' ')"

@@ -88,6 +88,13 @@ def test_entities_are_unescaped_once(spark):
     assert apply(spark, values, text.unescape_html) == ["café a×b ≂̸", "'A\ufffd &amp; &noname; & &;"]
 
 
+def test_article_text_with_bare_signs_and_open_scripts(spark):
+    pages = ["<article>a < b and c > d, <b>x</b> <3 y</article>", "<article>seen <script>var a = 1 < 2;</article>", "<article>seen <!-- never closed</article>",
+             "<article>one<?php x ?> two<!DOCTYPE html></article>"]
+    expected = ["a < b and c > d, x <3 y", "seen", "seen", "one two"]
+    assert apply(spark, pages, text.extract_article_text) == expected
+
+
 def test_article_text_of_other_pages(spark):
     pages = [
         "<article>outer one <article>inner</article> outer two</article><article>second</article>",
