@@ -9,12 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galley.functions.text import let
+from galley.operators.skew import joined_by_term
 from galley.session import materialize
 
-# Parts into which the documents of each term are dealt for the join with its frequency.
-TERM_SALTS = 16
-
-
 def index_labels(df: DataFrame, topic: str = "topic", label: str = "label") -> DataFrame:
     """Class index by frequency, ties alphabetical; a missing topic is an error."""
     return StringIndexer(inputCol=topic, outputCol=label).fit(df).transform(df)
@@ -75,18 +72,14 @@ def inverse_frequency(n_documents: Column, df: Column, min_doc_freq: int) -> Col
 def tf_idf(df: DataFrame, key: str, tokens: Column, min_doc_freq: int = 3) -> DataFrame:
     """``(key, term, tf, df, tf_idf)`` with exact terms instead of hash buckets; one row per key.
 
-    Terms are counted within their row. The pairs are read twice, so they are written once. A
-    frequent term occurs in a large part of them, and a plain join would send that part to one
-    task, so the pairs of every term are dealt to ``TERM_SALTS`` groups by a hash of the key and the
-    frequencies are repeated for each.
+    Terms are counted within their row. The pairs are read several times, so they are written once, and so
+    are the frequencies. A term that stands in many documents joins its frequency without a shuffle.
     """
     n_documents = df.agg(F.count("*")).scalar()
     counts = materialize(df.select(key, F.inline(row_term_counts(tokens))), "term_counts")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1)))
-    frequencies = document_frequencies(counts).withColumn("_salt", salts)
-    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(TERM_SALTS)).cast("int"))
-    joined = salted.join(frequencies, ["term", "_salt"])
+    frequencies = materialize(document_frequencies(counts), "frequencies")
     idf = inverse_frequency(n_documents, F.col("df"), min_doc_freq)
+    joined = joined_by_term(counts, frequencies, counted="df")
     return joined.select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tf_idf"))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from galley.functions import lexical
 from galley.functions.text import one_of
 from galley.functions.words import ED_ING_NON_VERBS
-from galley.operators.terms import joined_by_term, numbered_rows
+from galley.operators.skew import joined_by_term
+from galley.operators.terms import numbered_rows
 from galley.session import materialize
 
 

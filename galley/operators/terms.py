@@ -1,4 +1,4 @@
-"""A dictionary of terms as a table, and joins with it that no frequent term can skew."""
+"""A dictionary of terms as a table, and count vectors over it."""
 
 from __future__ import annotations
 
@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from galley.operators.features import row_term_counts
+from galley.operators.skew import joined_by_term
 from galley.session import materialize
 
-#: A term with more than this part of all rows is frequent, so there are at most as many frequent terms.
-FREQUENT_PARTS = 4096
 _POSITION_BITS = 33
 
 
@@ -23,20 +22,6 @@ def term_pairs(df: DataFrame, key: str, tokens: Column | str) -> DataFrame:
     return materialize(df.select(key, F.inline(row_term_counts(tokens))), "term_pairs")
 
 
-def joined_by_term(pairs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Inner join on ``term``; ``terms`` has one row per term.
-
-    Frequent terms are counted in ``pairs`` itself, whatever data the other table comes from. Their rows of
-    ``terms``, at most ``FREQUENT_PARTS``, are broadcast; none of the others holds more than that part of
-    a shuffle. Both ways join the same rows as one plain join.
-    """
-    total = pairs.count()
-    counted = pairs.groupBy("term").agg(F.count("*").alias("n"))
-    frequent = F.broadcast(materialize(counted.where(F.col("n") * FREQUENT_PARTS > total).select("term"), "frequent"))
-    hot = pairs.join(F.broadcast(terms.join(frequent, "term", "left_semi")), "term")
-    return hot.unionByName(pairs.join(frequent, "term", "left_anti").join(terms, "term"))
-
-
 def dictionary(pairs: DataFrame, min_df: int = 1) -> DataFrame:
     """``(term, index, tf, df)``: terms numbered from 0, most frequent first, ties in term order.
 
@@ -54,16 +39,20 @@ def dictionary(pairs: DataFrame, min_df: int = 1) -> DataFrame:
     return stored.join(F.broadcast(firsts), "_part").select("term", (F.col("_first") + position).alias("index"), "tf", "df")
 
 
-def term_vectors(df: DataFrame, tokens: Column | str, output: str = "features", min_df: int = 1) -> tuple[DataFrame, DataFrame]:
+def term_vectors(
+    df: DataFrame, tokens: Column | str, output: str = "features", min_df: int = 1, key: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The dictionary of ``df``'s tokens, and ``df`` with its counts as ``array<struct<index, value>>``.
 
     The arrays are sorted by index and hold one entry per term of the row: a sparse vector as long as the
-    dictionary, which may hold more terms than a driver or a vector's 32-bit size can.
+    dictionary, which may hold more terms than a driver or a vector's 32-bit size can. With ``key``, a column
+    unique by row, ``df`` is not written; else its rows are numbered and written once.
     """
-    rows = numbered_rows(df, "rows")
-    pairs = term_pairs(rows, "_row", tokens)
+    rows, row = (df, key) if key else (numbered_rows(df, "rows"), "_row")
+    pairs = term_pairs(rows, row, tokens)
     words = materialize(dictionary(pairs, min_df), "words")
     entry = F.struct("index", F.col("tf").cast("double").alias("value"))
-    vectors = joined_by_term(pairs, words.select("term", "index")).groupBy("_row").agg(F.array_sort(F.collect_list(entry)).alias(output))
+    coded = joined_by_term(pairs, words.select("term", "index", "df"), counted="df")
+    vectors = coded.groupBy(row).agg(F.array_sort(F.collect_list(entry)).alias(output))
     empty = F.array().cast("array<struct<index:bigint,value:double>>")
-    return words, rows.join(vectors, "_row", "left").select(*df.columns, F.coalesce(output, empty).alias(output))
+    return words, rows.join(vectors, row, "left").select(*df.columns, F.coalesce(output, empty).alias(output))

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galley.operators.features import inverse_frequency, row_term_counts
-from galley.operators.terms import joined_by_term, numbered_rows, term_pairs
+from galley.operators.skew import joined_by_term
+from galley.operators.terms import numbered_rows, term_pairs
 from galley.session import materialize, scratch_path
 from galley.sources.batches import append_batch, read_batches
 

@@ -666,7 +666,7 @@ def vocabulary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def count_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Total of each dictionary entry over the vectors."""
-    words, rows = terms.term_vectors(feature_tokens(spark, sf_dir).select("doc_id", "words"), "words")
+    words, rows = terms.term_vectors(documents(spark, sf_dir, "doc_id", "text"), feature_words(), key="doc_id")
     totals = rows.select(F.inline("features")).groupBy("index").agg(F.sum("value").cast("bigint").alias("tf"))
     return words.select("term", "index").join(totals, "index").select("term", "tf")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from galley import schemas
 from galley.functions import records
-from galley.operators import features, filters, history, metrics, profile, terms
+from galley.operators import features, filters, history, metrics, profile, skew, terms
 from galley.session import evaluate_once, materialize
 from galley.sources import articles, sinks
 
@@ -175,10 +175,10 @@ def test_split_is_stable(spark):
     assert 350 < train.count() < 450
 
 
-@pytest.mark.parametrize("salts", [1, 3, 16])
-def test_tf_idf_with_hot_terms(spark, monkeypatch, salts):
-    """The result does not depend on the number of groups of a term."""
-    monkeypatch.setattr(features, "TERM_SALTS", salts)
+@pytest.mark.parametrize("parts", [1, 3, 16, 1 << 40])
+def test_tf_idf_with_hot_terms(spark, monkeypatch, parts):
+    """The result does not depend on which terms count as frequent."""
+    monkeypatch.setattr(skew, "FREQUENT_PARTS", parts)
     documents = [(i, ["the", "the", f"w{i % 7}", *(["rare"] if i < 2 else [])]) for i in range(60)]
     frame = spark.createDataFrame(documents, "id int, tokens array<string>")
     found = {(r["id"], r["term"]): r["tf_idf"] for r in features.tf_idf(frame, "id", F.col("tokens")).collect()}

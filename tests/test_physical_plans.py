@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from galley.functions.text import feature_words
-from galley.operators import features, filters, history, profile
+from galley.operators import features, filters, history, profile, skew
 from galley.plans import scoring
 from galley.plans.normalize import normalize
 
@@ -115,6 +115,15 @@ def test_hot_urls_can_be_split(spark):
         assert "SortMergeJoin" in plan and "HashAggregate" not in plan
 
 
-def test_terms_are_joined_by_one_salted_path(documents):
+def test_frequent_terms_join_without_a_shuffle(spark, documents, monkeypatch):
+    """Terms with many rows meet a broadcast, the others one sorted join; the result is that of one join."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = physical(features.tf_idf(documents, "doc_id", feature_words(F.col("text"))))
-    assert plan.count("Join") == 1 and "_salt" in plan
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") >= 2
+    found = []
+    for parts in (1, 64, 1 << 40):
+        monkeypatch.setattr(skew, "FREQUENT_PARTS", parts)
+        rows = features.tf_idf(documents, "doc_id", feature_words(F.col("text"))).collect()
+        found.append(sorted((r.doc_id, r.term, r.tf, r.df) for r in rows))
+    assert found[0] == found[1] == found[2] and found[0]

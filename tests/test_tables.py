@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from galley import schemas
-from galley.operators import history, profile, terms
+from galley.operators import history, profile, skew, terms
 from galley.plans import model, term_model, tuning
 from galley.sources.batches import append_batch, committed, read_batches
 
@@ -42,8 +42,8 @@ def test_dictionary_numbers_by_frequency(spark, monkeypatch):
     docs = [(i, [f"t{k}" for k in rng.zipf(1.4, 20) % 500]) for i in range(300)]
     frame = spark.createDataFrame(docs, "id long, words array<string>").repartition(6)
     for parts in (1, 16, 1 << 30):
-        monkeypatch.setattr(terms, "FREQUENT_PARTS", parts)
-        words, vectors = terms.term_vectors(frame, "words", "found")
+        monkeypatch.setattr(skew, "FREQUENT_PARTS", parts)
+        words, vectors = terms.term_vectors(frame, "words", "found", key="id" if parts == 16 else None)
         counts = Counter(w for _, ws in docs for w in ws)
         expected = {w: i for i, (w, _) in enumerate(sorted(counts.items(), key=lambda c: (-c[1], c[0])))}
         assert {r.term: r["index"] for r in words.collect()} == expected
