@@ -351,5 +351,6 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_
 
 def _one_per_number(docs: DataFrame, k: int, percent: int, number: str, text: str) -> DataFrame:
     """One row of each kept number, where rows of one number have one text."""
-    kept = near_duplicates(docs, k, percent, number, text).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col(f"`{number}`").cast("long") == F.col("_kept"), "left_semi").dropDuplicates([number])
+    name = fresh("kept_id", docs.columns)
+    kept = near_duplicates(docs, k, percent, number, text).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, F.col(f"`{number}`").cast("long") == F.col(name), "left_semi").dropDuplicates([number])

@@ -477,3 +477,10 @@ def test_piece_encoder_equals_the_library(monkeypatch):
             assert counts.tolist() == list(map(len, expected)) and ids.tolist() == sum(expected, [])
     ids, counts = pieces.PieceEncoder(BYTE).encode([])
     assert len(ids) == len(counts) == 0
+
+
+def test_keep_one_with_clashing_names(edges):
+    docs = edges.withColumn("_kept", edges.doc_id).withColumn("kept_id", edges.doc_id).withColumn("Kept", edges.doc_id)
+    found = near_dup.keep_one(docs)
+    assert found.columns == docs.columns
+    assert {r.doc_id for r in found.collect()} == {r.doc_id for r in near_dup.keep_one(edges).collect()}
