@@ -461,6 +461,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT round(f, 6) AS f1, round(1 - f, 6) AS test_error, round(a, 6) AS accuracy
             FROM (SELECT sum(f1 * support) / sum(support) AS f, sum(hits) / sum(support) AS a FROM report)""",
         "profile_exact": profiles(),
+        "profile_sketches": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, TRUE AS distinct_close, TRUE AS quartiles_close FROM documents"
+            for c in ("doc_id", "text", "n_chars")
+        ),
         "profile_top_values": " UNION ALL ".join(top_of(c) for c in ("doc_id", "text", "lang", "source", "n_chars")),
         "page_sizes": "SELECT 2::BIGINT AS page_size, 2::BIGINT AS n_articles, count(*) AS responses FROM documents",
         "newest_first": f"WITH {SEEN} SELECT url, category, predicted_at FROM seen ORDER BY predicted_at DESC, url",

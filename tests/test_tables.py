@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from galley import schemas
-from galley.operators import history, profile, skew, terms
+from galley.operators import history, profile, sketches, skew, terms
 from galley.plans import model, term_model, tuning
 from galley.sources.batches import append_batch, committed, read_batches
 
@@ -196,6 +196,26 @@ def test_exact_profile_of_few_rows(spark):
     assert (r["rows"], r["distinct"], r.median) == (0, 0, None)
 
 
+def test_sketches_merge_over_parts(spark):
+    """Sketches of days merge to those of months and of the whole, in any order, as one sketch of the rows."""
+    frame = spark.range(20_000).selectExpr(
+        "id % 30 AS day", "id % 5 AS month", "id", "cast(id % 777 AS string) AS name", "if(id % 10 = 0, NULL, cast(id AS double)) AS x", "cast('NaN' AS double) AS nan"
+    )
+    days = sketches.sketched(frame, ["month", "day"])
+    months = sketches.merged(days, ["month"])
+    for merged in (sketches.merged(days), sketches.merged(months), sketches.sketched(frame.withColumn("one", F.lit(1)), ["one", "day", "month"])):
+        found = {r.column_name: r for r in sketches.estimates(sketches.merged(merged)).collect()}
+        assert set(found) == {"id", "name", "x", "nan"}
+        assert found["id"].rows == 20_000 and found["x"].nulls == 2000
+        assert abs(found["id"]["distinct"] - 20_000) < 1200 and abs(found["name"]["distinct"] - 777) < 45
+        for q, share in profile.QUARTILES.items():
+            assert abs(found["id"][q] / 20_000 - share) < 0.04 and abs(found["x"][q] / 20_000 - share) < 0.04
+        assert found["name"].median is None and found["nan"].median is None
+    one = sketches.estimates(sketches.merged(months.where("month = 3"))).where("column_name = 'id'").first()
+    assert one.rows == 4000 and abs(one["distinct"] - 4000) < 240
+    assert sketches.estimates(sketches.merged(sketches.sketched(frame.where("false"), ["day"]))).collect() == []
+
+
 # --- cross-validation
 
 
