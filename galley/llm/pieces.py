@@ -14,8 +14,8 @@ from itertools import chain, islice
 
 import numpy as np
 
-#: Pieces remembered by a worker before it starts afresh; this bounds memory only.
-REMEMBERED = 1_000_000
+#: Pieces remembered by a worker before it forgets those used once; this bounds memory only.
+REMEMBERED = 700_000
 #: Pieces joined into one text for the library.
 JOINED = 20_000
 
@@ -38,7 +38,9 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.special = sorted(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
         self.cuts = self._cuts_at_spaces() and not any(" " in s for s in self.special)
-        self._forget()
+        self.numbers = Numbers()
+        self.flat, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.unsafe, self.uses = np.empty(0, bool), np.empty(0, np.int64)
 
     def _cuts_at_spaces(self) -> bool:
         """Whether the file splits by the byte-level pattern alone."""
@@ -48,9 +50,17 @@ class PieceEncoder:
         return bool(level) and not told["normalizer"] and model.get("type") == "BPE" and not model.get("dropout")
 
     def _forget(self) -> None:
-        self.numbers = Numbers()
-        self.flat, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.unsafe = np.empty(0, bool)
+        """Keep the pieces used more than once since the last time, at most half of what may be remembered."""
+        pieces = list(self.numbers)
+        often = np.flatnonzero(self.uses > 1)
+        if len(often) > REMEMBERED // 2:
+            often = np.sort(often[np.argsort(-self.uses[often], kind="stable")[: REMEMBERED // 2]])
+        sizes = self.sizes[often]
+        starts = np.cumsum(sizes) - sizes
+        self.flat = self.flat[np.repeat(self.starts[often] - starts, sizes) + np.arange(sizes.sum())]
+        self.starts, self.sizes, self.unsafe = starts, sizes, self.unsafe[often]
+        self.uses = np.ones(len(often), np.int64)
+        self.numbers = Numbers(zip([pieces[i] for i in often.tolist()], range(len(often))))
 
     def _learn(self) -> None:
         """Encode the pieces numbered since the last call. A piece that ends in a space is the first of its text."""
@@ -84,6 +94,7 @@ class PieceEncoder:
         self.flat = np.concatenate(flat)
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
         self.unsafe = np.concatenate([self.unsafe, unsafe])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
 
     def _encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
@@ -110,6 +121,7 @@ class PieceEncoder:
         ends = np.cumsum([len(own) for own in pieces], dtype=np.int64)
         numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(pieces)), np.int64, int(ends[-1]) if len(ends) else 0)
         self._learn()
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
         sizes = self.sizes[numbers]
         before = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
         ids = self.flat[np.arange(before[-1]) + np.repeat(self.starts[numbers] - before[:-1], sizes)]

@@ -511,7 +511,7 @@ def test_piece_encoder_equals_the_library(monkeypatch):
     parts = ["word", "Word,", "it's", " ", "  ", "\n", "\t", " \n", "12", "日本", "é", " ", " x", "<|endoftext|>", "...", "\x00", "\x1c", "😀", "don't\nstop", "", "'s", " a"]
     texts = ["".join(rng.choice(parts, rng.integers(0, 12)).tolist()) for _ in range(3000)] + ["", " ", "a ", " a", "\n a", "a\n b", "a  b"]
     monkeypatch.setattr(pieces, "JOINED", 7)
-    monkeypatch.setattr(pieces, "REMEMBERED", 500)
+    monkeypatch.setattr(pieces, "REMEMBERED", 300)
     for path in (BYTE, WORD):
         tool, own = Tokenizer.from_file(path), pieces.PieceEncoder(path)
         assert own.cuts == (path == BYTE)
