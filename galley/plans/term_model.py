@@ -71,8 +71,8 @@ class TermModel:
     def save(self, path: str) -> None:
         """Replace the model at ``path``. The terms get a folder of their own, named by the classes written last."""
         spark = self.terms.sparkSession
-        folder = f"{path}/terms-{uuid.uuid4().hex}"
-        self.terms.write.parquet(folder)
+        folder = f"terms-{uuid.uuid4().hex}"
+        self.terms.write.parquet(f"{path}/{folder}")
         rows = [(i, *row, self.smoothing, folder) for i, row in enumerate(zip(self.labels, self.priors, self.bases))]
         table = spark.createDataFrame(rows, "position int, topic string, prior double, base double, smoothing double, folder string")
         table.coalesce(1).write.mode("overwrite").parquet(f"{path}/classes")
@@ -86,7 +86,7 @@ def load(spark: SparkSession, path: str) -> TermModel | None:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    terms = spark.read.parquet(rows[0].folder)
+    terms = spark.read.parquet(f"{path}/{rows[0].folder}")
     return TermModel(terms, *(tuple(row[c] for row in rows) for c in ("topic", "prior", "base")), rows[0].smoothing)
 
 
