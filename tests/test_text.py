@@ -207,3 +207,21 @@ def test_language_score(spark):
 def test_language_of_long_text(spark):
     text_value = "the cat and the dog " * 2000
     assert apply(spark, [text_value], lambda c: language.detect_lang(c, language.built_in_stop_words())) == ["en"]
+
+
+MARKED_WORD = rf"(?<![^{text.SPACE}\p{{Nd}}])[a-z]{{3,}}(?![^{text.SPACE}\p{{Nd}}])"
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="abcABC12.,'@/:-_\n\x1c\x85 \u00e9\u0660\U0001d7ce\U0001f600", max_size=40), min_size=30, max_size=30))
+def test_feature_words_without_blanking_marks(spark, values):
+    """The words are those found after marks and digits are blanked, without that pass over the text."""
+    blanked = F.regexp_extract_all(text._without_marks(F.col("s")), F.lit(MARKED_WORD), 0)
+    rows = spark.createDataFrame([(v,) for v in values], "s string").select(text.feature_words(F.col("s")).alias("words"), blanked.alias("expected"))
+    assert all(r.words == r.expected for r in rows.collect())
+    assert "translate" not in rows.select("words")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_inflected_words_meet_rules(spark):
+    plan = spark.range(1).select(lexical.lemmatize(F.array(F.col("id").cast("string"))))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("EndsWith" if "EndsWith" in plan else "endswith") < plan.index("men$") and plan.count("(?:ss|us|is)$") == 0
