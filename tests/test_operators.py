@@ -215,3 +215,11 @@ def test_materialize_keeps_rows_and_cuts_the_plan(spark, capsys):
     copy.explain()
     assert "FileScan parquet" in capsys.readouterr().out
     assert copy.count() == 5
+
+
+def test_terms_of_a_row_are_counted_by_batch(spark):
+    rows = [["b", "a", "b", "\u00e9", ""], [], None, ["a"], ["a"] * 3]
+    counted = spark.createDataFrame(list(enumerate(rows)), "i int, w array<string>").select("i", F.inline(features.row_term_counts("w")))
+    expected = sorted((i, term, row.count(term)) for i, row in enumerate(rows) if row for term in set(row))
+    assert sorted(tuple(r) for r in counted.collect()) == expected
+    assert "array_sort" not in counted._jdf.queryExecution().toString() and "sort_array" not in counted._jdf.queryExecution().toString()
