@@ -49,11 +49,11 @@ def dedup_articles(articles: DataFrame, key: str = "source", delay: str = "7 day
     The watermark follows the time of arrival, not the published date. It bounds the state, and as
     no row arrives late, old and undated articles are kept. Copies are removed per salted key first,
     so that a source sent over and over is spread over ``salts`` tasks; the few survivors meet in
-    the second step.
+    the second step. The salt is that of the task that read the copy, so one task's copies leave one survivor.
     """
     unique = articles.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", delay)
     if salts > 1:
-        salted = unique.withColumn("_salt", (F.rand() * salts).cast("int"))
+        salted = unique.withColumn("_salt", F.spark_partition_id() % salts)
         unique = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
     return unique.dropDuplicatesWithinWatermark([key]).drop("_arrived")
 

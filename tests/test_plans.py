@@ -238,3 +238,14 @@ def test_landing_resumes_from_its_checkpoint(spark, tmp_path):
         landing.land_stream(landing.rejected(stream), f"{base}/rejects", f"{base}/cp2").awaitTermination()
     assert sorted(r["title"] for r in spark.read.parquet(f"{base}/landed").collect()) == ["a", "b"]
     assert [r["value"] for r in spark.read.parquet(f"{base}/rejects").collect()] == ["broken"]
+
+
+def test_copies_of_one_file_leave_one_survivor(spark, tmp_path):
+    """Only one copy of those that a task reads goes on to the second step of the deduplication."""
+    base = str(tmp_path)
+    responses(spark, f"{base}/landing", range(1, 31))
+    stream = ingest.dedup_articles(ingest.response_stream(spark, f"{base}/landing"))
+    query = ingest.ingest_stream(stream, f"{base}/stored", f"{base}/published", ["news"], f"{base}/cp")
+    query.awaitTermination()
+    kept = [sum(p["stateOperators"][i]["numRowsUpdated"] for p in map(dict, query.recentProgress)) for i in range(2)]
+    assert kept == [30, 30]
