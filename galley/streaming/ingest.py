@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructField, StructType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from galley import schemas
 from galley.functions.records import parse_published
-from galley.session import evaluate_once
+from galley.session import evaluate_once, materialize
 from galley.sources.articles import flatten_api_articles
 from galley.sources.sinks import topic_records
 
@@ -64,8 +64,42 @@ def _first_copy(articles: DataFrame, *others: str) -> Column:
     return F.min(F.struct(F.col("published_at").isNull().alias("undated"), "published_at", *[c for c in rest if c != "published_at"])).alias("first")
 
 
-def batch_dedup(articles: DataFrame, key: str = "source") -> DataFrame:
-    """The batch form: the first published copy of each key, ties by content."""
+def batch_dedup(articles: DataFrame, key: str = "source", columns: Sequence[str] | None = None) -> DataFrame:
+    """The batch form: the first published copy of each key, ties by content; all columns or the named ones.
+
+    Texts that are not asked for move as digests, which tell whether the copies that tie up to them are the
+    same in them. Only copies of keys where they differ are compared whole.
+    """
+    if columns is None:
+        return _first_copies(articles, key)
+    kept = list(columns)
+    unasked = [f.name for f in articles.schema.fields if isinstance(f.dataType, StringType) and f.name not in (*kept, key)]
+    if not unasked:
+        return _first_copies(articles, key).select(*kept)
+    content = F.concat(*[F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in unasked])
+    # The digest stands where the first of these texts stood: what is before it decides alone, and what is
+    # behind it only between copies that agree in all of them.
+    rest = [c for c in articles.columns if c != "published_at" and c != key]
+    before = rest[: min(map(rest.index, unasked))]
+    hashed = evaluate_once(articles, _digest=F.sha2(content, 256)).drop(*unasked)
+    order = [F.col("published_at").isNull().alias("undated"), "published_at", *before]
+    behind = [c for c in rest if c not in (*before, *unasked)]
+    # the greatest digest is the least one with its digits turned around
+    turned = F.translate("_digest", "0123456789abcdef", "fedcba9876543210")
+    least = F.min(F.struct(*order, "_digest", *behind)).alias("first")
+    greatest = F.min(F.struct(*order, turned.alias("turned"))).alias("other")
+    differs = F.translate("other.turned", "0123456789abcdef", "fedcba9876543210") != F.col("first._digest")
+    first = hashed.groupBy(key).agg(least, greatest).select(key, "first.*", differs.alias("_differs"))
+    found = materialize(first.select(*kept, *([] if key in kept else [key]), "_differs"), "first_copies")
+    agreed = found.where("NOT _differs").select(*kept)
+    if found.where("_differs").isEmpty():
+        return agreed
+    unclear = materialize(found.where("_differs").select(key), "unclear")
+    whole = articles.join(unclear, articles[key].eqNullSafe(unclear[key]), "left_semi")
+    return agreed.unionByName(_first_copies(whole, key).select(*kept))
+
+
+def _first_copies(articles: DataFrame, key: str) -> DataFrame:
     return articles.groupBy(key).agg(_first_copy(articles, key)).select(key, "first.*").drop("undated")
 
 
