@@ -3,6 +3,7 @@
 import itertools
 
 import pytest
+
 from galley import registry
 from galley.streaming import ingest
 
