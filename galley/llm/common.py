@@ -2,39 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from galley.session import ship
+
 #: Text bytes that a task turns into Python objects at a time. It bounds memory, not the work.
 SLICE_BYTES = 4 << 20
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, which need not have it on their path.
-
-    The archive is made in the driver's own folder; executors fetch it from the driver.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for path in sorted(package.rglob("*.py")):
-            out.write(path, path.relative_to(package.parent).as_posix())
-    context.addPyFile(str(archive))
-    _SHIPPED.add(context.applicationId)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
