@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from galley.llm.common import ddl, fresh, slices
 from galley.llm.memory import tidied
-from galley.llm.pieces import Numbers
+from galley.llm.pieces import Numbers, byte_characters
 
 #: Letters of plain Latin.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
@@ -48,13 +48,6 @@ REMEMBERED = 200_000
 SLICE = 1 << 20
 
 
-def byte_characters() -> list[str]:
-    """The character that stands for each byte: itself if printable Latin-1, else the next free one."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = iter(range(0x100, 0x200))
-    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
-
-
 class PairIndex:
     """Merges of a tokenizer file, applied to many words at once."""
 

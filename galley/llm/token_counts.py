@@ -63,7 +63,7 @@ def section_tokens(docs: DataFrame, tokenizer: str, rule: str = "start", doc_id:
         lengths = tool.byte_lengths()
         for batch in slices(batches, "text"):
             texts = texts_as_bytes(batch.column("text"))
-            ids, counts = tool.encode([t.decode() for t in texts])
+            ids, counts = tool.encode(batch.column("text"))
             token_ends, at, rows = lengths[ids], 0, []
             for key, value, count in zip(batch.column("doc_id").to_pylist(), texts, counts.tolist()):
                 data = np.frombuffer(value, np.uint8)

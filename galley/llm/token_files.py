@@ -47,7 +47,7 @@ def write_token_files(
     def run(batches):
         encode, part, before = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0
         for batch in slices(batches, "text"):
-            ids, counts = encode(batch.column("text").to_pylist())
+            ids, counts = encode(batch.column("text"))
             ids = np.insert(ids, np.cumsum(counts), end_id)
             ends = np.cumsum(counts + 1)
             yield pa.RecordBatch.from_arrays(

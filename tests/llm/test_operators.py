@@ -524,6 +524,36 @@ def test_piece_encoder_equals_the_library(monkeypatch):
     assert len(ids) == len(counts) == 0
 
 
+def test_piece_encoder_encodes_no_word_again(monkeypatch):
+    """A new piece of known words needs neither the model nor the splitter."""
+    from galley.llm import pieces
+
+    own, asked = pieces.PieceEncoder(BYTE), []
+    own.encode(["alpha\n beta Gamma, delta... été,"])
+    monkeypatch.setattr(own, "_encoded", lambda text: asked.append(text))
+    monkeypatch.setattr(own, "model", None)
+    texts = ["alpha beta, delta... été\n beta,\n", None, "alpha, delta,\n"]
+    ids, counts = own.encode(texts)
+    tool = Tokenizer.from_file(BYTE)
+    expected = [tool.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == list(map(len, expected)) and ids.tolist() == sum(expected, [])
+    assert asked == []
+
+
+def test_piece_encoder_on_every_character_and_kind_of_byte():
+    from galley.llm import pieces
+
+    tool, own = Tokenizer.from_file(BYTE), pieces.PieceEncoder(BYTE)
+    forms = ["{0}", "a{0}", "{0}a", "1{0}1", " {0}", "{0} a", "a {0}a", ".{0}.", "a{0}{0}b", "a\n{0}\n\nb", "é{0}9 x", "'{0}"]
+    texts = [form.format(chr(c)) for c in [*range(0x300), 0x2003, 0x2028, 0x3000, 0x1F600] for form in forms]
+    rng = np.random.default_rng(9)
+    some = ["a", "é", "ƀ", "×", "1", ".", "\n", "\r\n", "\t", "\v", "\f", " ", " ", " ", "'s", "½", "Ω"]
+    texts += ["".join(rng.choice(some, rng.integers(0, 14)).tolist()) for _ in range(20_000)]
+    ids, counts = own.encode(texts)
+    expected = [tool.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == list(map(len, expected)) and ids.tolist() == sum(expected, [])
+
+
 def test_keep_one_with_clashing_names(edges):
     docs = edges.withColumn("_kept", edges.doc_id).withColumn("kept_id", edges.doc_id).withColumn("Kept", edges.doc_id)
     found = near_dup.keep_one(docs)
