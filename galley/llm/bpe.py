@@ -1,7 +1,8 @@
 """Byte-pair encoding with a tokenizer file, by an index of pair occurrences, and decoding.
 
-A task reads about 16 MB of text, numbers its distinct words, and encodes the new ones together. The
-symbols of all these words lie in one array with links to their neighbours. An index maps the rank of
+A task numbers the distinct words of up to 16 MB of text, less if many are new, and encodes the new ones
+together, about a megabyte at a time, which bounds what a worker holds. The
+symbols of these words lie in one array with links to their neighbours. An index maps the rank of
 each mergeable pair to all positions at which the pair stands. Ranks are taken in ascending order from
 a heap; one step merges a pair at all of its positions, relinks the neighbours and enters the pairs
 that arise into the lists of their ranks. The documents' ids are then gathered from their words' ids.
@@ -21,6 +22,7 @@ import heapq
 import json
 import os
 import re
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -40,10 +42,14 @@ LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 PATTERN = rf"[{LETTERS}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\s0-9{LETTERS}]+"
 #: Plain Latin without raised digits and fractions: lower-casing is one to one, composition changes nothing.
 _OTHER = re.compile("[^\t\n\r -~¡-±´-¸º»¿-įı-ſ]")
-_NEVER = np.int64(1) << 40
-#: Text bytes whose new words are encoded together, and words remembered by a worker.
+#: Ranks and positions are 32-bit integers: a text has fewer than 2**31 bytes.
+_NEVER = np.int32(np.iinfo(np.int32).max)
+#: Text bytes, and new words, after which a block of documents is given out, and words remembered by a worker.
 BLOCK_BYTES = 16 << 20
-REMEMBERED = 200_000
+NEW_WORDS = 100_000
+REMEMBERED = 100_000
+#: Bytes of new words whose symbols lie in one array. It bounds memory, not the work.
+TOGETHER_BYTES = 1 << 20
 #: Text bytes split into words at a time.
 SLICE = 1 << 20
 
@@ -53,15 +59,15 @@ class PairIndex:
 
     def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], suffix: str):
         characters = byte_characters()
-        self.inner = np.array([vocabulary[c] for c in characters], np.int64)
-        self.final = np.array([vocabulary[c + suffix] for c in characters], np.int64)
+        self.inner = np.array([vocabulary[c] for c in characters], np.int32)
+        self.final = np.array([vocabulary[c + suffix] for c in characters], np.int32)
         self.width = max(vocabulary.values()) + 1
         pairs = np.array([vocabulary[a] * self.width + vocabulary[b] for a, b in merges], np.int64)
-        self.merged = np.array([vocabulary[a + b] for a, b in merges], np.int64)
+        self.merged = np.array([vocabulary[a + b] for a, b in merges], np.int32)
         # of a pair listed twice the later rank holds, as in a mapping filled in order
         order = np.lexsort((np.arange(len(pairs)), pairs))
         last = np.append(pairs[order][1:] != pairs[order][:-1], True)
-        self.keys, self.ranks = pairs[order][last], order[last]
+        self.keys, self.ranks = pairs[order][last], order[last].astype(np.int32)
         #: Whether merging at a rank can give a pair of a lower rank.
         lowest = np.full(self.width, _NEVER)
         for side in (self.keys // self.width, self.keys % self.width):
@@ -70,7 +76,7 @@ class PairIndex:
         self.twin = pairs // self.width == pairs % self.width
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        pairs = left * self.width + right
+        pairs = left.astype(np.int64) * self.width + right
         at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
         return np.where(self.keys[at] == pairs, self.ranks[at], _NEVER)
 
@@ -79,12 +85,12 @@ class PairIndex:
         sizes = np.array([len(w) for w in words], np.int64)
         data = np.frombuffer(b"".join(words), np.uint8)
         n, ends = len(data), np.cumsum(sizes) - 1
-        word = np.repeat(np.arange(len(words)), sizes)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         symbol = self.inner[data]
         symbol[ends] = self.final[data[ends]]
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         after[ends], before[np.append(0, ends[:-1] + 1)] = -1, -1
-        rank, alive = np.full(n, _NEVER), np.ones(n, bool)
+        rank, alive = np.full(n, _NEVER, np.int32), np.ones(n, bool)
         index: dict[int, list[np.ndarray]] = {}
         heap: list[int] = []
 
@@ -101,7 +107,7 @@ class PairIndex:
                     heapq.heappush(heap, r)
                 index[r].append(list_)
 
-        enter(np.flatnonzero(after >= 0))
+        enter(np.flatnonzero(after >= 0).astype(np.int32))
         while heap:
             r = heapq.heappop(heap)
             lists = index.pop(r)
@@ -128,7 +134,7 @@ class PairIndex:
             rank[here[~inside]] = _NEVER
             previous = before[here]
             enter(np.unique(np.concatenate([here[inside], previous[previous >= 0]])))
-        return symbol[alive].astype(np.int32), np.bincount(word[alive], minlength=len(words))
+        return symbol[alive], np.bincount(word[alive], minlength=len(words))
 
 
 class WordEncoder:
@@ -166,19 +172,31 @@ class WordEncoder:
                     found.append(bytes(self.bytes_of[c] for c in word).decode("utf-8", "surrogateescape"))
         return found
 
+    def new(self) -> int:
+        """How many words have been numbered since the last call of ``learn``."""
+        return len(self.numbers) - (len(self.starts) - 1)
+
     def learn(self) -> None:
         """Encode the words numbered since the last call."""
-        words = list(islice(self.numbers, len(self.starts) - 1, None))
-        plain = [w.encode("utf-8", "surrogateescape") for w in words if w[0] != "\n"]
+        flat, sizes = [self.flat], [np.empty(0, np.int64)]
+        for words in _lots(islice(self.numbers, len(self.starts) - 1, None)):
+            ids, counts = self._encoded(words)
+            flat.append(ids)
+            sizes.append(counts)
+        self.flat = np.concatenate(flat)
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after another, and how many each word has."""
+        special = np.array([w[:1] == b"\n" for w in words])
+        plain = [w for w in words if w[:1] != b"\n"]
         ids, sizes = self.index.encode(plain) if plain else (np.empty(0, np.int32), np.empty(0, np.int64))
         if len(plain) < len(words):
-            special = np.array([w[0] == "\n" for w in words])
             parts, full = iter(np.split(ids, np.cumsum(sizes)[:-1]) if len(sizes) else ()), np.ones(len(words), np.int64)
-            ids = np.concatenate([np.array([self.special[w[1:]]], np.int32) if w[0] == "\n" else next(parts) for w in words])
+            ids = np.concatenate([np.array([self.special[w[1:].decode()]], np.int32) if w[:1] == b"\n" else next(parts) for w in words])
             full[~special] = sizes
             sizes = full
-        self.flat = np.concatenate([self.flat, ids])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        return ids, sizes
 
     def gather(self, numbers: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words ``numbers``, and the offsets in them of the documents whose words end at ``ends``."""
@@ -188,6 +206,19 @@ class WordEncoder:
         return ids, at[np.concatenate([[0], ends])]
 
 
+def _lots(words: Iterable[str]) -> Iterator[list[bytes]]:
+    """The words' bytes in lists of about ``TOGETHER_BYTES``, or with one word that is longer."""
+    lot, size = [], 0
+    for word in words:
+        lot.append(word.encode("utf-8", "surrogateescape"))
+        size += len(lot[-1])
+        if size >= TOGETHER_BYTES:
+            yield lot
+            lot, size = [], 0
+    if lot:
+        yield lot
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -236,8 +267,9 @@ def encode(
             ends = np.cumsum([len(x) for x in words])
             numbers = np.fromiter((n for x in words for n in map(tool.numbers.__getitem__, x)), np.int32, int(ends[-1]))
             size += pc.sum(pc.binary_length(batch.column(text))).as_py() or 0
-            held.append((batch if text in columns else batch.drop_columns([text]), numbers, ends))
-            if size > BLOCK_BYTES:
+            # a copy, as a slice would keep the texts of its whole batch
+            held.append((batch if text in columns else batch.drop_columns([text]).take(np.arange(batch.num_rows)), numbers, ends))
+            if size > BLOCK_BYTES or tool.new() > NEW_WORDS:
                 yield from emit(tool, held)
                 held, size = [], 0
                 if len(tool.numbers) > REMEMBERED:

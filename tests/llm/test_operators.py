@@ -1,6 +1,7 @@
 """Operators against plain versions, on the given tables and on rows at the edges."""
 
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -242,6 +243,38 @@ def test_bpe_on_odd_texts():
         assert ids[a:b].tolist() == tool.encode(text, add_special_tokens=False).ids
 
 
+def test_bpe_learns_many_new_words_in_little_memory():
+    """What the merges hold is bounded by the words taken together, not by all new words of a block."""
+    tool, own = Tokenizer.from_file(WORD), bpe.WordEncoder(WORD)
+    letters = np.random.default_rng(6).integers(97, 123, 300_000 * 9, np.uint8).tobytes().decode()
+    words = [letters[at : at + 9] for at in range(0, len(letters), 9)]
+    words[1000], words[299_000] = "\n<|endoftext|>", "\n<|startoftext|>"
+    numbers = np.array([own.numbers[w] for w in words])
+    tracemalloc.start()
+    own.learn()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
+    ids, offsets = own.gather(numbers, np.arange(1, len(words) + 1))
+    for at in [*range(0, len(words), 997), 1000, 299_000, len(words) - 1]:
+        expected = tool.encode(words[at].strip(), add_special_tokens=False).ids
+        assert ids[offsets[at] : offsets[at + 1]].tolist() == expected
+
+
+def test_bpe_gives_blocks_out_early(spark, monkeypatch):
+    """Blocks that end with a few new words, and words forgotten after each, change no row and no id."""
+    tool = Tokenizer.from_file(WORD)
+    data = [(i, None if i % 50 == 7 else "" if i % 50 == 8 else f"plain words x{i * 7919} \u65e5\u672c{i % 4} <|endoftext|> it's {i % 3}") for i in range(400)]
+    for name, value in (("NEW_WORDS", 5), ("REMEMBERED", 20), ("SLICE", 100)):
+        monkeypatch.setattr(bpe, name, value)
+    docs = spark.createDataFrame([*data, data[0], (None, "no id")], "doc_id long, text string").coalesce(1)
+    found = bpe.encode(docs, WORD, decoded="decoded").collect()
+    expected = [tool.encode(text or "", add_special_tokens=False).ids for _, text in [*data, data[0], (None, "no id")]]
+    assert [r.doc_id for r in found] == [*range(400), 0, None]
+    assert [r.ids for r in found] == expected
+    assert [r.decoded for r in found] == [tool.decode(ids, skip_special_tokens=False) for ids in expected]
+
+
 def test_pair_index_takes_lower_ranks_first():
     """A merge that gives a pair of a lower rank, which the next merge in the word must wait for."""
     characters = bpe.byte_characters()
